@@ -43,14 +43,14 @@ def scratch_name(df: DataFrame, stem: str) -> str:
     return name
 
 
-def join_counted(rows: DataFrame, keyed: DataFrame, key: str, count: str, total: int) -> DataFrame:
+def join_counted(rows: DataFrame, keyed: DataFrame, key: str, count: str, total: int, hot_keys: int = HOT_KEYS) -> DataFrame:
     """Inner join of ``rows`` to ``keyed`` (one row per key, with the key's number of rows in ``rows``).
 
-    A key that holds more than 1/HOT_KEYS of all rows is hot. There can be at
-    most HOT_KEYS such keys, so their side is broadcast whatever the input
-    size; every other key shuffles with a bounded number of rows.
+    A key that holds more than 1/hot_keys of all ``total`` rows is hot. There can
+    be at most hot_keys such keys, so their side is broadcast whatever the input
+    size; every other key shuffles with a bounded share of the rows.
     """
-    limit = max(1, total // HOT_KEYS)
+    limit = max(1, total // hot_keys)
     hot = F.broadcast(keyed.where(F.col(count) > limit))
     cold = rows.join(F.broadcast(keyed.where(F.col(count) > limit).select(key)), key, "left_anti")
     return rows.join(hot, key).unionByName(cold.join(keyed.where(F.col(count) <= limit), key))

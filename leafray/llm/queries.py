@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafray.llm import bpe, exact_dedup, token_counts
+from leafray.llm import bpe, exact_dedup, minhash, token_counts
 from leafray.llm.common import tokenizer_path
 
 
@@ -13,6 +13,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = minhash.near_copies(spark, _table(spark, sf_dir, "documents"))
+    return marked.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
@@ -37,6 +42,7 @@ FROM t WINDOW w AS (PARTITION BY norm)
 """
 
 QUERIES = {
+    "op2_minhash": op2_minhash,
     "op5_bpe": op5_bpe,
     "op6_token_counts": op6_token_counts,
     "op10_exact_dedup": op10_exact_dedup,
