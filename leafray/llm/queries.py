@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafray.llm import bpe, exact_dedup, minhash, token_counts
+from leafray.llm import bpe, exact_dedup, minhash, substring_dedup, token_counts
 from leafray.llm.common import tokenizer_path
 
 
@@ -27,6 +27,12 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.remove_repeats(spark, _table(spark, sf_dir, "documents"))
+    sha = F.coalesce(F.sha2("kept_text", 256), F.lower(F.hex("joined_sha")))
+    return found.select("doc_id", "n_words", "n_removed", sha.alias("kept_sha256"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = exact_dedup.copies(spark, _table(spark, sf_dir, "documents"))
     return marked.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -45,6 +51,7 @@ QUERIES = {
     "op2_minhash": op2_minhash,
     "op5_bpe": op5_bpe,
     "op6_token_counts": op6_token_counts,
+    "op8_substring_dedup": op8_substring_dedup,
     "op10_exact_dedup": op10_exact_dedup,
 }
 ORACLES = {"op10_exact_dedup": OP10_SQL}
