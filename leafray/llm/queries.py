@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafray.llm import bpe, exact_dedup, minhash, substring_dedup, token_counts
+from leafray.llm import bpe, exact_dedup, minhash, quality, substring_dedup, token_counts, toxicity
 from leafray.llm.common import tokenizer_path
 
 
@@ -18,6 +18,10 @@ def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
@@ -27,6 +31,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scored(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring_dedup.remove_repeats(spark, _table(spark, sf_dir, "documents"))
     sha = F.coalesce(F.sha2("kept_text", 256), F.lower(F.hex("joined_sha")))
@@ -49,8 +57,10 @@ FROM t WINDOW w AS (PARTITION BY norm)
 
 QUERIES = {
     "op2_minhash": op2_minhash,
+    "op4_toxicity": op4_toxicity,
     "op5_bpe": op5_bpe,
     "op6_token_counts": op6_token_counts,
+    "op7_quality": op7_quality,
     "op8_substring_dedup": op8_substring_dedup,
     "op10_exact_dedup": op10_exact_dedup,
 }
