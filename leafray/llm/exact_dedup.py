@@ -81,25 +81,22 @@ def stream_state(spark: SparkSession, source: str, schema, root: str, files_per_
     return updates.groupBy("digest").agg(F.min("keep").alias("keep"), F.max("n").alias("n"))
 
 
-def _byte_check(docs: DataFrame, state: DataFrame, total: int, digest) -> DataFrame:
-    """Hits whose full normalised text differs from the text that their digest's state points to.
+def _byte_check(docs: DataFrame, found: DataFrame, total: int, digest) -> DataFrame:
+    """Digests whose hits don't all have the same full text.
 
-    Copies of a hot text are dealt over salts; the kept text is repeated once
-    for each HOT_KEYS-th of all rows that its group holds.
+    Texts move once, by doc_id, to the rows whose digest was met more than
+    once; only those are normalised again and gathered by digest. The smallest
+    and the largest text of a group are equal if and only if all are; a hot
+    group is dealt over salts first.
     """
     share = max(1, total // HOT_KEYS)
-    dup = state.where("n > 1").select("digest", "n", F.col("keep.doc_id").alias("keep_id"), F.ceil(F.col("n") / share).alias("salts"))
-    texts = docs.select("doc_id", normalised("text").alias("norm")).withColumn("digest", digest(F.col("norm")))
-    hits = join_counted(texts, dup, "digest", "n", total)
-    salted = F.pmod(F.xxhash64("doc_id"), F.col("salts"))
-    reps = (
-        hits.where(F.col("doc_id").eqNullSafe(F.col("keep_id")))
-        .groupBy("digest", "salts")
-        .agg(F.min("norm").alias("kept_norm"))
-        .select("digest", "kept_norm", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"))
-    )
-    members = hits.select("digest", "doc_id", "norm", salted.alias("salt"))
-    return members.join(reps, ["digest", "salt"]).where("norm <> kept_norm").select("digest", "doc_id", "norm")
+    hits = found.where("n > 1").select(F.col("doc_id").alias("hit_id"), F.col("digest").alias("hit"), F.ceil(F.col("n") / share).alias("salts")).distinct()
+    texts = docs.select("doc_id", "text").join(hits.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("hit_id")))
+    texts = texts.select(normalised("text").alias("norm"), "hit", F.pmod(F.xxhash64("doc_id"), "salts").alias("salt"))
+    own = texts.where(digest(F.col("norm")) == F.col("hit"))
+    parts = own.groupBy("hit", "salt").agg(F.min("norm").alias("lo"), F.max("norm").alias("hi"))
+    whole = parts.groupBy("hit").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    return whole.where("lo <> hi").select(F.col("hit").alias("digest"))
 
 
 def copies(spark: SparkSession, docs: DataFrame, digest: Callable[[Column], Column] = sha256, files_per_batch: int | None = None) -> DataFrame:
@@ -115,19 +112,19 @@ def copies(spark: SparkSession, docs: DataFrame, digest: Callable[[Column], Colu
     rows = materialize(entries(docs, digest), f"{root}/rows")
     state = materialize(stream_state(spark, f"{root}/rows", rows.schema, root, files_per_batch), f"{root}/kept")
     total = rows.count()
-    differing = materialize(_byte_check(docs, state, total, digest), f"{root}/differing")
     flat = rows.select("digest", F.col("entry.doc_id").alias("doc_id"), F.col("entry.row").alias("row"))
-    found = join_counted(flat, state.select("digest", "n", F.col("keep.doc_id").alias("keep_id"), F.col("keep.row").alias("keep_row")), "digest", "n", total)
-    if not differing.isEmpty():
-        return _regrouped(docs, flat, state, differing, digest, total)
+    kept = state.select("digest", "n", F.col("keep.doc_id").alias("keep_id"), F.col("keep.row").alias("keep_row"))
+    found = materialize(join_counted(flat, kept, "digest", "n", total), f"{root}/found")
+    broken = materialize(_byte_check(docs, found, total, digest), f"{root}/broken")
+    if not broken.isEmpty():
+        return _regrouped(docs, flat, state, broken, digest, total)
     return found.select(
         "doc_id", "keep_id", F.col("n").alias("group_size"), (F.col("row") == F.col("keep_row")).alias("kept"), "digest", "row", F.lit(None).cast("string").alias("norm")
     )
 
 
-def _regrouped(docs, flat, state, differing, digest, total) -> DataFrame:
+def _regrouped(docs, flat, state, broken, digest, total) -> DataFrame:
     """Groups by full text for the digests that hold different texts (a broken or colliding digest)."""
-    broken = differing.select("digest").distinct()
     texts = docs.select("doc_id", normalised("text").alias("norm")).withColumn("digest", digest(F.col("norm"))).join(broken, "digest")
     texts = texts.withColumn("row", F.monotonically_increasing_id())
     key = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("row"))
