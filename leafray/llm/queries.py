@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafray.llm import bpe, exact_dedup, minhash, quality, substring_dedup, token_counts, toxicity
+from leafray.llm import bpe, exact_dedup, minhash, mixing, mixing_queries, quality, substring_dedup, token_counts, toxicity
 from leafray.llm.common import tokenizer_path
 
 
@@ -13,6 +13,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.select_tokens(spark, _table(spark, sf_dir, "documents"), **mixing_queries.production()).drop("print")
+
+
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = minhash.near_copies(spark, _table(spark, sf_dir, "documents"))
     return marked.select("doc_id", "n_shingles", "component_id", "kept")
@@ -56,6 +60,7 @@ FROM t WINDOW w AS (PARTITION BY norm)
 """
 
 QUERIES = {
+    "op1_mixing": op1_mixing,
     "op2_minhash": op2_minhash,
     "op4_toxicity": op4_toxicity,
     "op5_bpe": op5_bpe,
@@ -64,4 +69,4 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op10_exact_dedup": op10_exact_dedup,
 }
-ORACLES = {"op10_exact_dedup": OP10_SQL}
+ORACLES = {"op1_mixing": mixing_queries.sql(), "op10_exact_dedup": OP10_SQL}
