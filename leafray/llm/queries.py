@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafray.llm import bpe, exact_dedup, minhash, mixing, mixing_queries, quality, substring_dedup, token_counts, toxicity
+from leafray.llm import bpe, exact_dedup, hnsw, minhash, mixing, mixing_queries, quality, substring_dedup, token_counts, toxicity
 from leafray.llm.common import tokenizer_path
 
 
@@ -45,6 +45,10 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", sha.alias("kept_sha256"))
 
 
+def op9_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.near_vectors(spark, _table(spark, sf_dir, "embeddings"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = exact_dedup.copies(spark, _table(spark, sf_dir, "documents"))
     return marked.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -67,6 +71,7 @@ QUERIES = {
     "op6_token_counts": op6_token_counts,
     "op7_quality": op7_quality,
     "op8_substring_dedup": op8_substring_dedup,
+    "op9_hnsw": op9_hnsw,
     "op10_exact_dedup": op10_exact_dedup,
 }
 ORACLES = {"op1_mixing": mixing_queries.sql(), "op10_exact_dedup": OP10_SQL}
