@@ -65,8 +65,7 @@ def boundaries(encoding) -> tuple[list[int], list[int]]:
     """Pre-token starts of an encoding, and the number of tokens before each."""
     at, before, last = [], [], object()
     for k, (word, (start, _)) in enumerate(zip(encoding.word_ids, encoding.offsets, strict=True)):
-        # a special token has a word id of its own segment, so its offset is compared too
-        if word != last or word is None or (at and start > at[-1] and encoding.special_tokens_mask[k]):
+        if word != last:
             at.append(start)
             before.append(k)
             last = word
