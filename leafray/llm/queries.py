@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafray.llm import bpe, exact_dedup, hnsw, minhash, mixing, mixing_queries, quality, substring_dedup, token_counts, toxicity
+from leafray.llm import backoff, bpe, exact_dedup, hnsw, minhash, mixing, mixing_queries, quality, substring_dedup, token_counts, toxicity
 from leafray.llm.common import tokenizer_path
 
 
@@ -22,6 +22,11 @@ def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op3_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = backoff.scores(spark, _table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_tokens", *[F.round(c, 6).alias(c) for c in ("log_score", "mean_log_score")])
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -66,6 +71,7 @@ FROM t WINDOW w AS (PARTITION BY norm)
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_minhash": op2_minhash,
+    "op3_backoff": op3_backoff,
     "op4_toxicity": op4_toxicity,
     "op5_bpe": op5_bpe,
     "op6_token_counts": op6_token_counts,
@@ -74,4 +80,4 @@ QUERIES = {
     "op9_hnsw": op9_hnsw,
     "op10_exact_dedup": op10_exact_dedup,
 }
-ORACLES = {"op1_mixing": mixing_queries.sql(), "op10_exact_dedup": OP10_SQL}
+ORACLES = {"op1_mixing": mixing_queries.sql(), "op3_backoff": backoff.SQL, "op10_exact_dedup": OP10_SQL}
