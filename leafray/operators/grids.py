@@ -205,11 +205,9 @@ def assign_cells(obs: DataFrame, grid: DataFrame, reach: float, name: str = "cel
     have a null cell.
     """
     pick = F.array(*[F.floor(c / reach) for c in unit_vector(F.col("phi"), F.col("theta"))])
-    step = F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1)))
     centre = grid.select(F.col("cell_id").alias("near_cell"), *[c.alias(n) for c, n in zip(unit_vector(F.col("phi"), F.col("theta")), ("cx", "cy", "cz"), strict=True)])
-    for axis in ("x", "y", "z"):
-        centre = centre.withColumn(f"v{axis}", step + F.floor(F.col(f"c{axis}") / reach))
-    centre = centre.select(F.array("vx", "vy", "vz").alias("voxel"), "near_cell", "cx", "cy", "cz")
+    around = [F.array(*[F.floor(F.col(c) / reach) + d for c, d in zip(("cx", "cy", "cz"), (i, j, k), strict=True)]) for i in (-1, 0, 1) for j in (-1, 0, 1) for k in (-1, 0, 1)]
+    centre = centre.select(F.explode(F.array(*around)).alias("voxel"), "near_cell", "cx", "cy", "cz")
     x, y, z = unit_vector(F.col("phi"), F.col("theta"))
     known = obs.select("phi", "theta").where(F.col("phi").isNotNull() & F.col("theta").isNotNull()).distinct()
     d2 = F.round((x - F.col("cx")) ** 2 + (y - F.col("cy")) ** 2 + (z - F.col("cz")) ** 2, 12)

@@ -26,7 +26,7 @@ def polar(low: float, high: float, degrees: bool = False) -> Column:
 
 def elevation(low: float, high: float) -> Column:
     """Degrees above the horizon."""
-    return (90 - F.degrees("theta")).between(low, high)
+    return F.round(90 - F.degrees("theta"), 9).between(low, high)
 
 
 def sector(centre: float, width: float, theta_low: float = 0.0, theta_high: float = math.pi / 2) -> Column:

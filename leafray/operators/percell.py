@@ -56,7 +56,7 @@ def averaged_diurnal(series: list[DataFrame]) -> DataFrame:
 def elevation_bins(percell: DataFrame, grid: DataFrame, width: int = 5) -> DataFrame:
     """Mean over time per cell, then mean and cells per bin of elevation (degrees) with its true centre."""
     mean = percell.groupBy("cell_id").agg(F.avg("value").alias("value"))
-    elevation = 90 - F.degrees("theta")
+    elevation = F.round(90 - F.degrees("theta"), 9)  # centres lie on bin edges
     placed = mean.where("value is not null").join(grid.select("cell_id", elevation.alias("elevation")), "cell_id")
     bin_ = F.floor(F.col("elevation") / width)
     return placed.groupBy(bin_.cast("int").alias("elev_bin")).agg(F.avg("value").alias("mean"), F.count("value").alias("n_cells")).withColumn("centre", (F.col("elev_bin") + 0.5) * width)
@@ -68,7 +68,7 @@ TIME_KEYS = {"hour": F.hour, "week": F.weekofyear, "month": F.month}
 def theta_time_heatmap(percell: DataFrame, grid: DataFrame, by: str = "hour", theta_bins: int = 9) -> DataFrame:
     """Mean per left-closed bin of theta and hour, ISO week or month (of any year)."""
     placed = percell.where("value is not null").join(grid.select("cell_id", "theta"), "cell_id")
-    bin_ = F.least(F.lit(theta_bins - 1), F.floor(F.degrees("theta") / (90.0 / theta_bins))).cast("int")
+    bin_ = F.least(F.lit(theta_bins - 1), F.floor(F.round(F.degrees("theta"), 9) / (90.0 / theta_bins))).cast("int")
     return placed.groupBy(bin_.alias("theta_bin"), TIME_KEYS[by](F.col("time")).alias(by)).agg(F.avg("value").alias("mean"), F.count("value").alias("n"))
 
 
