@@ -22,6 +22,8 @@ from leafray.llm.common import HOT_KEYS, SPACE, join_counted, materialize, share
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STREAM_CONF = {
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+    # many small stores would otherwise each reserve megabytes of disk ahead
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
