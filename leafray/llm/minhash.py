@@ -9,8 +9,9 @@ Groups of copies never expand into all pairs. Equal sets are one node from the
 start. Inside a bucket of candidates, members are first compared with one hub
 (the member that shares most buckets). What the links found this way join is
 one component; only members outside their bucket's largest component are
-compared with the others, and only where a bound on the overlap (shingles that
-no other such document has can't be shared) leaves a link possible. So every
+compared with the others, and only where bounds on the overlap (shingles that
+no other such document has can't be shared, nor those whose bit is missing in
+the other's bitmap) leave a link possible. So every
 candidate pair is joined, excluded by a bound, or compared.
 """
 
@@ -31,6 +32,8 @@ WORDS = 5
 THRESHOLD = 75
 K, BAND_ROWS, BITS = 128, 4, 4
 N_BANDS = K // BAND_ROWS
+#: Longs of a set's bitmap, whose bits bound the overlap of two sets from above.
+BITMAP = 32
 #: A candidate is dropped if its estimate lies this far (in hundredths) below the threshold: seven standard errors.
 SLACK = 30
 
@@ -76,6 +79,19 @@ def estimate(a: Column, b: Column) -> Column:
     return 100.0 * ((1.0 - lost / float(K)) - chance) / (1.0 - chance)
 
 
+def bitmap(shingles: np.ndarray) -> np.ndarray:
+    """A bit for each shingle by its hash, as BITMAP longs."""
+    bits = np.zeros(64 * BITMAP, np.uint8)
+    bits[(shingles % np.uint64(64 * BITMAP)).astype(np.int64)] = 1
+    return np.packbits(bits).view(np.int64)
+
+
+def overlap_bound(a: Column, b: Column, size: Column) -> Column:
+    """No more of a set's ``size`` shingles can be shared than those whose bits the other set's bitmap has too."""
+    lost = F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseAND(F.bitwise_not(y))))
+    return size - F.aggregate(lost, F.lit(0), lambda s, x: s + x)
+
+
 def sign(docs: DataFrame, length: int = WORDS) -> DataFrame:
     """doc_id, row, n_shingles, and for non-empty sets digest, bits and bands."""
     ints = pa.list_(pa.int64())
@@ -104,21 +120,21 @@ def sign(docs: DataFrame, length: int = WORDS) -> DataFrame:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """The full sets of the ``wanted`` nodes (node, id, digest, bits, n): node, n, bits, shingles."""
+    """The full sets of the ``wanted`` nodes (node, id, digest, bits, n): node, n, bits, bitmap, shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("node", pa.int64()), ("n", pa.int64()), ("bits", pa.list_(pa.int64())), ("shingles", pa.list_(pa.int64()))])
+        schema = pa.schema([("node", pa.int64()), ("n", pa.int64()), ("bits", pa.list_(pa.int64())), ("bitmap", pa.list_(pa.int64())), ("shingles", pa.list_(pa.int64()))])
         for batch in batches:
             out = []
             for node, digest, n, bits, text in zip(*[batch.column(i).to_pylist() for i in range(5)], strict=True):
                 s = words.shingles(words.split(text, lower=True), length)
                 if xxhash.xxh3_128_digest(s.tobytes()) == digest:
-                    out.append({"node": node, "n": n, "bits": bits, "shingles": s.view(np.int64)})
+                    out.append({"node": node, "n": n, "bits": bits, "bitmap": bitmap(s), "shingles": s.view(np.int64)})
             yield pa.RecordBatch.from_pylist(out, schema)
 
     texts = docs.select(F.col("doc_id").alias("id2"), "text")
     joined = texts.join(wanted, F.col("id").eqNullSafe(F.col("id2"))).select("node", "digest", "n", "bits", "text")
-    return joined.mapInArrow(run, "node long, n long, bits array<long>, shingles array<long>").dropDuplicates(["node"])
+    return joined.mapInArrow(run, "node long, n long, bits array<long>, bitmap array<long>, shingles array<long>").dropDuplicates(["node"])
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
@@ -146,12 +162,16 @@ def _cross_pairs(members: DataFrame, sets: DataFrame, mapping: DataFrame, thresh
     known = materialize(known.join(shared, "node").withColumn("most", F.col("n") - F.col("own")), f"{root}/bounded")
     # the overlap of a link is at least t / (1 + t) of both sizes together
     able = known.where((100 + threshold) * F.col("most") >= threshold * (F.col("n") + F.ceil(F.col("n") * threshold / 100)))
-    left = able.where("component <> major").select("key", *[F.col(c).alias(f"{c}_l") for c in ("node", "n", "most", "component")])
-    right = able.select("key", "node", "n", "most", "component", (F.col("component") == F.col("major")).alias("of_major"))
+    able = able.join(sets.select("node", "bitmap"), "node")
+    left = able.where("component <> major").select("key", *[F.col(c).alias(f"{c}_l") for c in ("node", "n", "most", "component", "bitmap")])
+    right = able.select("key", "node", "n", "most", "component", "bitmap", (F.col("component") == F.col("major")).alias("of_major"))
+    enough = lambda overlap: (100 + threshold) * overlap >= threshold * (F.col("n") + F.col("n_l"))
     possible = (
         (F.col("component") != F.col("component_l"))
         & (F.col("of_major") | (F.col("node_l") < F.col("node")))
-        & ((100 + threshold) * F.least("most", "most_l") >= threshold * (F.col("n") + F.col("n_l")))
+        & enough(F.least("most", "most_l"))
+        & enough(overlap_bound(F.col("bitmap"), F.col("bitmap_l"), F.col("n")))
+        & enough(overlap_bound(F.col("bitmap_l"), F.col("bitmap"), F.col("n_l")))
     )
     return left.join(right, "key").where(possible).select(F.least("node", "node_l").alias("a"), F.greatest("node", "node_l").alias("b")).distinct()
 
