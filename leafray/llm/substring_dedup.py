@@ -40,7 +40,7 @@ from leafray.llm.common import join_counted, materialize, shared_dir
 WINDOW = 50
 #: Words of an anchor.
 ANCHOR = 16
-#: Windows of a reference shard, of one reference passage, and words streamed in one group, about.
+#: Words of a reference shard, windows of one reference passage, and words streamed in one group, about.
 SHARD, PIECE, GROUP = 40_000, 4_096, 400_000
 #: Stands for a null doc_id: no smaller than any.
 LAST = 2**63 - 1
@@ -189,7 +189,7 @@ def _windows(touched: DataFrame, window: int) -> DataFrame:
 
 
 def _passages(first: DataFrame, window: int) -> DataFrame:
-    """Reference passages of (doc, own, text): doc, piece, anchors, n windows, passage."""
+    """Reference passages of (doc, own, text): doc, piece, anchors, n words, passage."""
     schema = pa.schema([("doc", pa.int64()), ("piece", pa.int64()), ("anchors", pa.list_(pa.int64())), ("n", pa.int64()), ("passage", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,7 +203,7 @@ def _passages(first: DataFrame, window: int) -> DataFrame:
                 for run_ in np.split(at, np.flatnonzero(np.diff(at) > 1) + 1) if len(at) else []:
                     for i in range(0, len(run_), PIECE):
                         a, b = int(run_[i]), int(run_[min(i + PIECE, len(run_)) - 1])
-                        out.append({"doc": doc, "piece": a // PIECE, "anchors": np.unique(anchors[a : b + 1]), "n": b - a + 1, "passage": b" ".join(w[a : b + window]).decode()})
+                        out.append({"doc": doc, "piece": a // PIECE, "anchors": np.unique(anchors[a : b + 1]), "n": b - a + window, "passage": b" ".join(w[a : b + window]).decode()})
             yield pa.RecordBatch.from_pylist(out, schema)
 
     return first.select("doc", "own", "text").mapInArrow(run, "doc long, piece long, anchors array<long>, n long, passage string")
