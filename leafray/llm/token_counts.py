@@ -154,7 +154,8 @@ def count_tokens(spark: SparkSession, docs: DataFrame, path: str, chunk: int = C
     out, width, step = short, overlap, 0
     while not huge.isEmpty():
         cut = _cut(huge, chunk, width).repartition("row", "start")
-        spliced = materialize(_spliced(_encode_chunks(cut, path, chunk, width), chunk), f"{root}/spliced{step}")
+        encoded = materialize(_encode_chunks(cut, path, chunk, width), f"{root}/encoded{step}")
+        spliced = materialize(_spliced(encoded, chunk), f"{root}/spliced{step}")
         out = out.unionByName(spliced.where("not failed").select("doc_id", "n_bytes", "n_tokens"))
         huge = huge.join(spliced.where("failed").select("row"), "row")
         width, step = width * 4, step + 1
