@@ -334,19 +334,19 @@ def _(spark, sf):
 # --- masks and weights -------------------------------------------------------
 
 _MASKS = {
-    "phi_wrap": (masks.azimuth(350, 20, degrees=True), "phi >= radians(350) OR phi <= radians(20)"),
-    "theta": (masks.polar(10, 45, degrees=True), "theta BETWEEN radians(10) AND radians(45)"),
-    "elevation": (masks.elevation(30, 90), "round(90 - degrees(theta), 9) BETWEEN 30 AND 90"),
-    "sector": (masks.sector(10, 60), "(phi >= radians(340) OR phi <= radians(40)) AND theta BETWEEN 0 AND pi() / 2"),
-    "hemisphere": (masks.hemisphere("east"), "phi BETWEEN radians(45) AND radians(135)"),
-    "exclude": (~masks.cells(range(20)), "cell_id NOT IN (SELECT unnest(range(20)))"),
-    "and_or": (masks.combine([masks.combine([masks.hemisphere("south"), masks.elevation(0, 50)]), masks.cells([0, 1, 2])], "OR"), "(phi BETWEEN radians(135) AND radians(225) AND round(90 - degrees(theta), 9) BETWEEN 0 AND 50) OR cell_id IN (0, 1, 2)"),
+    "phi_wrap": (lambda: masks.azimuth(350, 20, degrees=True), "phi >= radians(350) OR phi <= radians(20)"),
+    "theta": (lambda: masks.polar(10, 45, degrees=True), "theta BETWEEN radians(10) AND radians(45)"),
+    "elevation": (lambda: masks.elevation(30, 90), "round(90 - degrees(theta), 9) BETWEEN 30 AND 90"),
+    "sector": (lambda: masks.sector(10, 60), "(phi >= radians(340) OR phi <= radians(40)) AND theta BETWEEN 0 AND pi() / 2"),
+    "hemisphere": (lambda: masks.hemisphere("east"), "phi BETWEEN radians(45) AND radians(135)"),
+    "exclude": (lambda: ~masks.cells(range(20)), "cell_id NOT IN (SELECT unnest(range(20)))"),
+    "and_or": (lambda: masks.combine([masks.combine([masks.hemisphere("south"), masks.elevation(0, 50)]), masks.cells([0, 1, 2])], "OR"), "(phi BETWEEN radians(135) AND radians(225) AND round(90 - degrees(theta), 9) BETWEEN 0 AND 50) OR cell_id IN (0, 1, 2)"),
 }
 for _n, (_mask, _where) in _MASKS.items():
 
     @query(f"mask_{_n}", f"SELECT count(*) AS n, count(DISTINCT cell_id) AS cells, {r('sum(vod)', 'total', 4)} FROM vg JOIN (SELECT cell_id FROM grid WHERE {_where}) USING (cell_id)", GRID)
     def _(spark, sf, mask=_mask):
-        kept = A.gridded(spark, sf).join(masks.select(A.grid(spark), mask), "cell_id", "left_semi")
+        kept = A.gridded(spark, sf).join(masks.select(A.grid(spark), mask()), "cell_id", "left_semi")
         return rounded(kept.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("cell_id").alias("cells"), F.sum("vod").alias("total")), 4)
 
 
