@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafray.llm import backoff, bpe, exact_dedup, hnsw, minhash, mixing, mixing_queries, quality, substring_dedup, token_counts, toxicity
+from leafray.llm import backoff, bpe, exact_dedup, hnsw, minhash, mixing, mixing_queries, ngrams, quality, substring_dedup, token_counts, toxicity
 from leafray.llm.common import tokenizer_path
 
 
@@ -23,7 +23,7 @@ def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = backoff.scores(spark, _table(spark, sf_dir, "documents"))
+    found = ngrams.scores(spark, _table(spark, sf_dir, "documents"), order=2, least=backoff.LEAST)
     return found.select("doc_id", "n_tokens", *[F.round(c, 6).alias(c) for c in ("log_score", "mean_log_score")])
 
 
