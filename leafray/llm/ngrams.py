@@ -105,29 +105,31 @@ class _Batch:
         self.left = np.repeat(ends, self.lengths) - np.arange(len(self.sequence))
         self.place = np.arange(len(self.sequence)) - np.repeat(ends - self.lengths, self.lengths)
 
-    def grams(self, orders: Sequence[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Sorted distinct hashes of the n-grams of these orders, for each occurrence (order after order) which it is, and how often each occurs."""
+    def grams(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Sorted distinct hashes of the k-grams, for each occurrence which it is, and how often each occurs."""
         h = self.vocabulary
         if self.counts is not None:
             h = np.where(self.counts >= self.least, h, UNKNOWN)
         h = h[self.sequence]
-        found = [h if k == 1 else words.runs(h, k)[self.left[: max(0, len(h) - k + 1)] >= k] for k in orders]
-        return np.unique(np.concatenate(found), return_inverse=True, return_counts=True)
+        found = h if k == 1 else words.runs(h, k)[self.left[: max(0, len(h) - k + 1)] >= k]
+        return np.unique(found, return_inverse=True, return_counts=True)
 
 
 def _answers(state: DataFrame, orders: Sequence[int], least: int, buckets: int) -> DataFrame:
-    """(batch, bucket, counts, rest): corpus counts for the part of ``grams`` in the bucket; rest: occurrences of n-grams below ``least``, once per bucket."""
+    """(batch, bucket, counts, rest): corpus counts for the part of ``grams`` in the bucket, each order having ``buckets`` of its own; rest: occurrences of n-grams below ``least``, once per bucket."""
     edges = np.array([(i << 64) // buckets for i in range(buckets)], np.uint64)
 
     def ask(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrow:
             for row in batch.to_pylist():
-                keys, _, n = _Batch(row, least).grams(orders)
-                cut = np.append(np.searchsorted(keys, edges), len(keys))
-                full = np.flatnonzero(np.diff(cut))
-                parts = [slice(cut[i], cut[i + 1]) for i in full]
-                columns = [pa.array(full, pa.int64()), pa.array([row["batch"]] * len(full), pa.int64()), pa.array([pack_sorted(keys[p]) for p in parts], pa.binary()), pa.array([pack(n[p]) for p in parts], pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=["bucket", "batch", "keys", "n"])
+                asking = _Batch(row, least)
+                for k in orders:
+                    keys, _, n = asking.grams(k)
+                    cut = np.append(np.searchsorted(keys, edges), len(keys))
+                    full = np.flatnonzero(np.diff(cut))
+                    parts = [slice(cut[i], cut[i + 1]) for i in full]
+                    columns = [pa.array(full + k * buckets, pa.int64()), pa.array([row["batch"]] * len(full), pa.int64()), pa.array([pack_sorted(keys[p]) for p in parts], pa.binary()), pa.array([pack(n[p]) for p in parts], pa.binary())]
+                    yield pa.RecordBatch.from_arrays(columns, names=["bucket", "batch", "keys", "n"])
 
     def add(table: pa.Table) -> pa.Table:
         keys = [unpack_sorted(k) for k in table["keys"].to_pylist()]
@@ -164,13 +166,13 @@ def _scored(state: DataFrame, answers: DataFrame, order: int, least: int, total:
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         batch = _Batch(left.to_pylist()[0], least)
         count, at, found = _joined(right), 0, {}
-        _, which, _ = batch.grams(orders)
         for k in orders:
+            distinct, which, _ = batch.grams(k)
             # the count of the k-gram that ends at a token, where the document has one
             here = np.zeros(len(batch.place), np.int64)
             ends = np.flatnonzero(batch.place >= k - 1)
-            here[ends] = count[which[at : at + len(ends)]]
-            at, found[k] = at + len(ends), here
+            here[ends] = count[at : at + len(distinct)][which]
+            at, found[k] = at + len(distinct), here
         if least > 1 and batch.counts is None:
             found[1] = np.empty(0, np.int64)
         elif least > 1:
@@ -197,7 +199,7 @@ def scores(spark: SparkSession, docs: DataFrame, order: int = 3, least: int = 1)
     root = shared_dir(spark, "ngrams")
     state = materialize(_batches(docs), f"{root}/batches")
     total = state.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
-    buckets = max(LEAST_BUCKETS, order * total // BUCKET)
+    buckets = max(LEAST_BUCKETS, total // BUCKET)
     rest = 0
     if least > 1:
         answers = materialize(_answers(state, [1], least, buckets), f"{root}/tokens")
@@ -206,3 +208,21 @@ def scores(spark: SparkSession, docs: DataFrame, order: int = 3, least: int = 1)
     last = _answers(state, range(1, order + 1) if least == 1 else range(2, order + 1), least, buckets)
     out = _scored(state, last, order, least, total, rest)
     return out.select("doc_id", "n_tokens", "log_score", F.expr("try_divide(log_score, n_tokens)").alias("mean_log_score"))
+
+
+#: Three orders, nothing left out. The texts scored are those counted, so every n-gram is known and no score backs off.
+SQL = r"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM documents),
+k AS (SELECT r, unnest(w) AS w, generate_subscripts(w, 1) AS i FROM t),
+b AS (SELECT r, i, w, lag(w) OVER s AS p, lag(w, 2) OVER s AS q FROM k WINDOW s AS (PARTITION BY r ORDER BY i)),
+c1 AS (SELECT w, count(*) AS c FROM k GROUP BY w),
+c2 AS (SELECT p, w, count(*) AS c FROM b WHERE p IS NOT NULL GROUP BY p, w),
+c3 AS (SELECT q, p, w, count(*) AS c FROM b WHERE q IS NOT NULL GROUP BY q, p, w),
+s AS (SELECT b.r, sum(CASE WHEN b.q IS NOT NULL THEN ln(c3.c / cp.c::DOUBLE) WHEN b.p IS NOT NULL THEN ln(c2.c / u.c::DOUBLE)
+    ELSE ln(c1.c / (SELECT count(*) FROM k)::DOUBLE) END) AS g
+    FROM b JOIN c1 ON c1.w = b.w LEFT JOIN c1 u ON u.w = b.p LEFT JOIN c2 ON c2.p = b.p AND c2.w = b.w LEFT JOIN c2 cp ON cp.p = b.q AND cp.w = b.p
+    LEFT JOIN c3 ON c3.q = b.q AND c3.p = b.p AND c3.w = b.w GROUP BY b.r)
+SELECT doc_id, len(t.w)::BIGINT AS n_tokens, round(coalesce(g, 0.0), 6) AS log_score, round(g / nullif(len(t.w), 0), 6) AS mean_log_score
+FROM t LEFT JOIN s USING (r)
+"""

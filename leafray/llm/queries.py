@@ -27,6 +27,12 @@ def op3_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_tokens", *[F.round(c, 6).alias(c) for c in ("log_score", "mean_log_score")])
 
 
+def op3_backoff_trigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every token, pair and trigram counts; nothing is left out for being rare."""
+    found = ngrams.scores(spark, _table(spark, sf_dir, "documents"), order=3, least=1)
+    return found.select("doc_id", "n_tokens", *[F.round(c, 6).alias(c) for c in ("log_score", "mean_log_score")])
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -72,6 +78,7 @@ QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_minhash": op2_minhash,
     "op3_backoff": op3_backoff,
+    "op3_backoff_trigrams": op3_backoff_trigrams,
     "op4_toxicity": op4_toxicity,
     "op5_bpe": op5_bpe,
     "op6_token_counts": op6_token_counts,
@@ -80,4 +87,4 @@ QUERIES = {
     "op9_hnsw": op9_hnsw,
     "op10_exact_dedup": op10_exact_dedup,
 }
-ORACLES = {"op1_mixing": mixing_queries.sql(), "op3_backoff": backoff.SQL, "op10_exact_dedup": OP10_SQL}
+ORACLES = {"op1_mixing": mixing_queries.sql(), "op3_backoff": backoff.SQL, "op3_backoff_trigrams": ngrams.SQL, "op10_exact_dedup": OP10_SQL}

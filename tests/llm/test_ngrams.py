@@ -58,6 +58,12 @@ def test_query_keeps_words_that_are_a_small_share(spark, monkeypatch, tmp_path):
     agree(queries.op3_backoff(spark, str(tmp_path)).collect(), brute(data, 2, 2))
 
 
+def test_trigram_query_leaves_nothing_out(spark, tmp_path):
+    data = sample(2)
+    spark.createDataFrame(data, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    agree(queries.QUERIES["op3_backoff_trigrams"](spark, str(tmp_path)).collect(), brute(data, 3, 1))
+
+
 def test_empty(spark):
     for least in (1, 2):
         assert ngrams.scores(spark, spark.createDataFrame([], "doc_id long, text string"), 3, least).count() == 0
