@@ -17,6 +17,7 @@ candidate pair is joined, excluded by a bound, or compared.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -93,9 +94,9 @@ def overlap_bound(a: Column, b: Column, size: Column) -> Column:
 
 
 def sign(docs: DataFrame, length: int = WORDS) -> DataFrame:
-    """doc_id, row, n_shingles, and for non-empty sets digest, bits and bands."""
+    """doc_id, row, n_shingles, text_sha, and for non-empty sets digest, bits and bands."""
     ints = pa.list_(pa.int64())
-    schema = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()), ("bits", ints), ("bands", ints)])
+    schema = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("n_shingles", pa.int64()), ("text_sha", pa.binary()), ("digest", pa.binary()), ("bits", ints), ("bands", ints)])
 
     def nested(matrix: np.ndarray, full: np.ndarray) -> pa.Array:
         width = matrix.shape[1]
@@ -104,19 +105,20 @@ def sign(docs: DataFrame, length: int = WORDS) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, digests, found = [], [], []
+            sizes, shas, digests, found = [], [], [], []
             for text in batch.column(2).to_pylist():
                 s = words.shingles(words.split(text, lower=True), length)
                 sizes.append(len(s))
+                shas.append(hashlib.sha256((text or "").encode()).digest())
                 digests.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                 if len(s):
                     found.append(minima(s))
             m = np.array(found, np.uint32).reshape(-1, K)
             full = np.array(sizes, np.int64) > 0
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), nested(packed(m), full), nested(band_keys(m), full)], schema=schema)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(shas, pa.binary()), pa.array(digests, pa.binary()), nested(packed(m), full), nested(band_keys(m), full)], schema=schema)
 
     rows = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), "text")
-    return rows.mapInArrow(run, "doc_id long, row long, n_shingles long, digest binary, bits array<long>, bands array<long>")
+    return rows.mapInArrow(run, "doc_id long, row long, n_shingles long, text_sha binary, digest binary, bits array<long>, bands array<long>")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
@@ -177,7 +179,7 @@ def _cross_pairs(members: DataFrame, sets: DataFrame, mapping: DataFrame, thresh
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, length: int = WORDS, threshold: int = THRESHOLD) -> DataFrame:
-    """One row per row of ``docs``: doc_id, row, n_shingles, component_id, kept.
+    """One row per row of ``docs``: doc_id, row, n_shingles, text_sha, component, component_id, kept.
 
     ``docs`` needs doc_id and text; other columns are ignored. Texts without
     words (null, empty, white space) have empty sets and link with nothing.
@@ -212,14 +214,33 @@ def near_copies(spark: SparkSession, docs: DataFrame, length: int = WORDS, thres
     label = classes.join(mapping, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = label.groupBy("component").agg(F.min("first_id").alias("component_id"))
     label = materialize(label.join(smallest, "component").select("digest", "copies", "component", "component_id"), f"{root}/labels")
-    of_full = join_counted(full.select("doc_id", "row", "n_shingles", "digest"), label, "digest", "copies", total)
-    out = of_full.select("doc_id", "row", "n_shingles", "component", "component_id")
-    alone = signed.where("n_shingles = 0").select("doc_id", "row", "n_shingles", F.col("row").alias("component"), F.col("doc_id").alias("component_id"))
+    of_full = join_counted(full.select("doc_id", "row", "n_shingles", "text_sha", "digest"), label, "digest", "copies", total)
+    out = of_full.select("doc_id", "row", "n_shingles", "text_sha", "component", "component_id")
+    alone = signed.where("n_shingles = 0").select("doc_id", "row", "n_shingles", "text_sha", F.col("row").alias("component"), F.col("doc_id").alias("component_id"))
     return out.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, length: int = WORDS, threshold: int = THRESHOLD) -> DataFrame:
-    """``docs`` with one document of each component: all rows of its smallest doc_id, all columns as they are."""
-    marked = near_copies(spark, docs, length, threshold)
-    gone = materialize(marked.where("not kept").select(F.col("doc_id").alias("gone_id")).distinct(), shared_dir(spark, "near"))
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone_id"]), "left_anti")
+    """``docs`` with one row of each component, all columns as they are; texts without words all stay.
+
+    The row that stays has the smallest doc_id (null is larger than all others)
+    and of these the smallest SHA-256 of the text. Rows are told apart by
+    doc_id and text; of rows that repeat both, one stays.
+    """
+    key = ["doc_id", "text_sha"]
+    full = near_copies(spark, docs, length, threshold).where("n_shingles > 0")
+    root = shared_dir(spark, "near")
+    texts = materialize(full.groupBy("component", *key).agg(F.count(F.lit(1)).alias("times")), f"{root}/texts")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), *key))
+    groups = materialize(texts.groupBy("component").agg(best.alias("keep"), F.count(F.lit(1)).alias("n"), F.sum("times").alias("rows")).where("rows > 1").drop("rows"), f"{root}/groups")
+    stays = F.col("doc_id").eqNullSafe(F.col("keep.doc_id")) & (F.col("text_sha") == F.col("keep.text_sha"))
+    fate = join_counted(texts, groups, "component", "n", texts.count()).withColumn("stays", stays).where("not stays or times > 1")
+    fate = materialize(fate.select(*[F.col(c).alias(f"{c}_") for c in key], "stays"), f"{root}/fate")
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    own = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
+    own = own.withColumn("text_sha", F.unhex(F.sha2(F.coalesce(F.col(names["text"]), F.lit("")), 256)))
+    same = own[names["doc_id"]].eqNullSafe(fate["doc_id_"]) & (own["text_sha"] == fate["text_sha_"])
+    out = own.join(fate, same, "left_anti")
+    if not fate.where("stays").isEmpty():
+        out = out.unionByName(own.join(fate.where("stays"), same, "left_semi").dropDuplicates([names["doc_id"], "text_sha"]))
+    return out.select(*[F.col(n).alias(c) for c, n in names.items()])
