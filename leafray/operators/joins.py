@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leafray.functions.columns import micros
@@ -62,22 +62,64 @@ def overlapping(left: DataFrame, right: DataFrame, bucket_seconds: int, closed:
     return pairs.drop("bucket_", "a_", "b_", "a_2_", "b_2_")
 
 
+def _reached(batch: DataFrame, ledger: DataFrame, width: int) -> DataFrame:
+    """(a_, b_) of the batch's intervals that meet a ledger interval: the largest end among those that start by b_ is at least a_."""
+    ends = ledger.groupBy(F.col("a_").alias("t_")).agg(F.max("b_").alias("end_")).withColumn("low_", F.lit(None).cast("long"))
+    asked = batch.select("a_", "b_").distinct().select(F.col("b_").alias("t_"), F.lit(None).cast("long").alias("end_"), F.col("a_").alias("low_"))
+    both = ends.unionByName(asked).withColumn("k_", F.floor(F.col("t_") / width))
+    before = Window.orderBy("k_").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = both.groupBy("k_").agg(F.max("end_").alias("e_")).select("k_", F.max("e_").over(before).alias("earlier_"))
+    so_far = Window.partitionBy("k_").orderBy("t_").rangeBetween(Window.unboundedPreceding, 0)
+    known = both.withColumn("here_", F.max("end_").over(so_far)).where("low_ is not null").join(earlier, "k_")
+    return known.where(F.greatest("here_", "earlier_") >= F.col("low_")).select(F.col("low_").alias("a_"), F.col("t_").alias("b_"))
+
+
+def _inside(batch: DataFrame, width: int) -> DataFrame:
+    """Distinct (file_hash, a_, b_) of ``batch`` that lie inside an interval of another hash.
+
+    Of the intervals that start by a_, the greatest (end, hash) and the largest
+    end of any other hash decide. That second end is the largest of the smaller
+    ends wherever an interval meets a greatest one of another hash before it.
+    """
+    rows = batch.select("file_hash", "a_", "b_").distinct().withColumn("k_", F.floor(F.col("a_") / width)).withColumn("x_", F.struct("b_", "file_hash"))
+
+    def lost(x: str, w) -> Column:
+        top = F.max(x).over(w.rowsBetween(Window.unboundedPreceding, -1))
+        return F.when(top["file_hash"] != F.col(x)["file_hash"], F.least(top["b_"], F.col(x)["b_"]))
+
+    of_bucket = Window.partitionBy("k_")
+    rows = rows.withColumn("lost_", lost("x_", of_bucket.orderBy("a_", "b_", "file_hash")))
+    so_far = of_bucket.orderBy("a_").rangeBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("top_", F.max("x_").over(so_far)).withColumn("second_", F.max("lost_").over(so_far))
+    buckets = rows.groupBy("k_").agg(F.max("x_").alias("x_"), F.max("lost_").alias("lost_"))
+    in_order = Window.orderBy("k_")
+    buckets = buckets.withColumn("lost_", F.greatest("lost_", lost("x_", in_order)))
+    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    earlier = buckets.select("k_", F.max("x_").over(before).alias("top_before_"), F.max("lost_").over(before).alias("second_before_"))
+    other = lambda top, second: F.when(F.col(top)["file_hash"] != F.col("file_hash"), F.col(top)["b_"]).otherwise(F.col(second))
+    found = rows.join(earlier, "k_").where(F.greatest(other("top_", "second_"), other("top_before_", "second_before_")) >= F.col("b_"))
+    return found.select("file_hash", "a_", "b_")
+
+
 def ledger_verdicts(batch: DataFrame, ledger: DataFrame, bucket_seconds: int = 86_400) -> DataFrame:
     """``batch`` (file_hash, start, end) with why to skip it: hash_match, temporal_overlap, contained, or null to ingest.
 
     A hash known to the ledger comes first, then any closed overlap with a
     ledger interval, then lying inside another file of the batch (of two equal
-    intervals both do). A null hash never matches the ledger.
+    intervals both do). A null hash never matches the ledger. No pairs are
+    formed: running maxima of the ends, per time bucket, decide.
     """
+    width = bucket_seconds * 1_000_000
     known = ledger.select("file_hash").where("file_hash is not null").distinct().withColumn("by_hash_", F.lit(True))
-    marked = batch.join(known, "file_hash", "left")
-    times = marked.select("file_hash", "start", "end").where("file_hash is not null")
-    by_time = overlapping(times, ledger.select("start", "end"), bucket_seconds).select("file_hash").distinct().withColumn("by_time_", F.lit(True))
-    inside = overlapping(times, times, bucket_seconds).where("file_hash <> file_hash_2 and start_2 <= start and end_2 >= end")
-    inside = inside.select("file_hash").distinct().withColumn("inside_", F.lit(True))
-    out = marked.join(by_time, "file_hash", "left").join(inside, "file_hash", "left")
-    reason = F.when(F.col("by_hash_"), "hash_match").when(F.col("by_time_"), "temporal_overlap").when(F.col("inside_"), "contained")
-    return out.withColumn("reason", reason).drop("by_hash_", "by_time_", "inside_")
+    a, b = micros(F.col("start")), F.coalesce(micros(F.col("end")), F.lit(253_402_300_799_000_000))
+    marked = batch.join(known, "file_hash", "left").withColumn("a_", a).withColumn("b_", b)
+    times = marked.where("file_hash is not null and a_ <= b_")
+    by_time = _reached(times, ledger.select(a.alias("a_"), b.alias("b_")).where("a_ <= b_"), width).withColumn("by_time_", F.lit(True))
+    # an open end is neither inside another interval nor around one
+    inside = _inside(times.where("end is not null"), width).withColumn("inside_", F.lit(True))
+    out = marked.join(by_time, ["a_", "b_"], "left").join(inside, ["file_hash", "a_", "b_"], "left")
+    reason = F.when(F.col("by_hash_"), "hash_match").when(F.col("file_hash").isNotNull() & F.col("by_time_"), "temporal_overlap").when(F.col("inside_") & F.col("end").isNotNull(), "contained")
+    return out.withColumn("reason", reason).select(*batch.columns, "reason")
 
 
 def valid_at(facts: DataFrame, periods: DataFrame, key: str, day: str, values: Sequence[str], bucket_days: int = 366) -> DataFrame:

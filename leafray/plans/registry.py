@@ -476,6 +476,13 @@ def _(spark, sf):
     return joins.ledger_verdicts(batch, ledger, 30 * 86_400).select("file_hash", "reason")
 
 
+@query("dedup_hash_or_overlap_all", """SELECT b.file_hash, CASE WHEN EXISTS (SELECT 1 FROM lg WHERE lg.file_hash = b.file_hash) THEN 'hash_match' WHEN EXISTS (SELECT 1 FROM lg WHERE lg.a <= b.b AND lg.b >= b.a) THEN 'temporal_overlap'
+    WHEN EXISTS (SELECT 1 FROM iv x WHERE x.file_hash <> b.file_hash AND x.a <= b.a AND x.b >= b.b) THEN 'contained' END AS reason FROM iv b""", _IV + ", lg AS (SELECT * FROM iv WHERE year(a) <= 1995)")
+def _(spark, sf):
+    v = _intervals(spark, sf)
+    return joins.ledger_verdicts(v, v.where(F.year("start") <= 1995), 30 * 86_400).select("file_hash", "reason")
+
+
 @query("latest_per_interval", "SELECT o_custkey, o_orderkey, o_orderdate FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS k FROM orders) WHERE k = 1")
 def _(spark, sf):
     o = A.table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderdate").withColumn("o", F.struct("o_orderdate", "o_orderkey"))
