@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leafray.functions.columns import ratio
+from leafray.operators.ordered import exact_quantiles
 
 # Tier, largest difference, mean difference, difference of missing rates.
 TIERS = [("exact", 0.0, 0.0, 0.0), ("numerical", 1e-6, 1e-7, 0.01), ("scientific", 0.1, 0.01, 0.05)]
@@ -21,7 +22,6 @@ def compare(a: DataFrame, b: DataFrame, variables: Sequence[str], keys: Sequence
     p = both.select(pairs.alias("p")).select("p.*")
     d = F.col("a") - F.col("b")
     n = F.count(d)
-    q = F.percentile(F.abs(d), F.array(F.lit(0.5), F.lit(0.9), F.lit(0.99)))
     out = p.groupBy("variable").agg(
         n.alias("n_compared"),
         F.count_if(F.col("a").isNotNull() & F.col("b").isNull()).alias("a_only"),
@@ -33,12 +33,12 @@ def compare(a: DataFrame, b: DataFrame, variables: Sequence[str], keys: Sequence
         F.avg(F.abs(d)).alias("mae"),
         F.avg(d).alias("bias"),
         F.when(n >= 2, F.corr(F.when(d.isNotNull(), F.col("a")), F.when(d.isNotNull(), F.col("b")))).alias("correlation"),
-        q.alias("q"),
         F.avg(F.col("a").isNull().cast("double")).alias("missing_a"),
         F.avg(F.col("b").isNull().cast("double")).alias("missing_b"),
         F.avg((F.col("a").isNull() == F.col("b").isNull()).cast("double")).alias("missing_agreement"),
     )
-    return out.select("*", *[F.col("q")[i].alias(x) for i, x in enumerate(("p50", "p90", "p99"))]).drop("q")
+    q = exact_quantiles(p, F.abs(d), (0.5, 0.9, 0.99), by=["variable"])
+    return out.join(q, "variable", "left").select("*", *[F.get("q", F.lit(i)).alias(x) for i, x in enumerate(("p50", "p90", "p99"))]).drop("q")
 
 
 def alignment(a: DataFrame, b: DataFrame, column: str) -> DataFrame:

@@ -12,15 +12,19 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from leafray.operators.ordered import exact_quantiles
+
 
 class Filter:
     """Statistics that a filter needs, and the mask made of them (columns ``s0``, ``s1``, ...)."""
 
     name = "filter"
     least = 1
+    #: Set where the statistics are these quantiles.
+    quantiles: Sequence[float] = ()
 
     def statistics(self, value: Column) -> list[Column]:
-        return []
+        return [F.percentile(value, F.lit(p)) for p in self.quantiles]
 
     def mask(self, value: Column, stats: list[Column]) -> Column:
         raise NotImplementedError
@@ -50,14 +54,11 @@ class ZScore(Filter):
 class Iqr(Filter):
     """Within ``factor`` interquartile ranges of the quartiles (linear quantiles)."""
 
-    name, least = "iqr", 4
+    name, least, quantiles = "iqr", 4, (0.25, 0.75)
 
     def __init__(self, factor: float = 1.5):
         self.factor = factor
 
-    def statistics(self, value):
-        return [F.percentile(value, F.lit(0.25)), F.percentile(value, F.lit(0.75))]
-
     def mask(self, value, stats):
         span = (stats[1] - stats[0]) * self.factor
         return (value >= stats[0] - span) & (value <= stats[1] + span)
@@ -70,10 +71,7 @@ class Percentile(Filter):
     name, least = "percentile", 5
 
     def __init__(self, lower: float = 5.0, upper: float = 95.0):
-        self.bounds = lower, upper
-
-    def statistics(self, value):
-        return [F.percentile(value, F.lit(b / 100)) for b in self.bounds]
+        self.quantiles = lower / 100, upper / 100
 
     def mask(self, value, stats):
         return (value >= stats[0]) & (value <= stats[1])
@@ -106,15 +104,19 @@ class Custom(Filter):
 def apply(df: DataFrame, filter_: Filter, value: str = "vod", by: Sequence[str] = (), min_observations: int = 5, suffix: str | None = None) -> DataFrame:
     """Adds ``mask_<suffix>`` and ``<value>_filtered_<suffix>``.
 
-    Without ``by`` the statistics are those of all rows: one row, joined to all.
-    With ``by`` they are those of each group; partial aggregation makes a group
-    of any size one row before the shuffle, except for exact quantiles, whose
-    distinct values are counted.
+    Without ``by`` the statistics are those of all rows: one row, joined to all;
+    quantiles take two passes, so that no task holds all values. With ``by``
+    they are those of each group; partial aggregation makes a group of any size
+    one row before the shuffle, except for exact quantiles, whose distinct
+    values are counted.
     """
     suffix = suffix or filter_.name
     v = F.col(value)
     made = filter_.statistics(v)
-    if made or by:
+    if filter_.quantiles and not by:
+        stats = exact_quantiles(df, v, filter_.quantiles)
+        df = df.join(F.broadcast(stats.select(*[F.get("q", F.lit(i)).alias(f"s{i}_") for i in range(len(made))])), how="left")  # one row
+    elif made or by:
         stats = df.groupBy(*by).agg(F.count(v).alias("n_"), *[c.alias(f"s{i}_") for i, c in enumerate(made)])
         if by:
             stats = stats.withColumnsRenamed({b: f"{b}_" for b in by})

@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 
 from leafray.functions.columns import TWO_PI
 
+#: Cells of a grid whose lists of near centres (about 1 kB a cell) may be broadcast.
+BROADCAST_CELLS = 20_000
+
 HALF_PI = math.pi / 2
 COLUMNS = ["cell_id", "phi", "theta", "phi_min", "phi_max", "theta_min", "theta_max"]
 
@@ -199,17 +202,21 @@ def assign_cells(obs: DataFrame, grid: DataFrame, reach: float, name: str = "cel
 
     Unit vectors fall into voxels of edge ``reach`` (radians), which must be no
     smaller than the distance from any observed direction to its nearest
-    centre. Each centre is put into its voxel and all that touch it, so a plain
-    equi-join on the voxel meets every possible nearest centre and no other
-    pair is formed. Rows with missing angles, or with no centre within reach,
-    have a null cell.
+    centre. Each voxel lists the centres in it and in all that touch it, so an
+    equi-join on the voxel brings every possible nearest centre to the row,
+    which takes the nearest of the list. Of a grid of no more than
+    BROADCAST_CELLS cells the lists are broadcast, and observations are not
+    shuffled. Rows with missing angles, or with no centre within reach, have a
+    null cell.
     """
-    pick = F.array(*[F.floor(c / reach) for c in unit_vector(F.col("phi"), F.col("theta"))])
-    centre = grid.select(F.col("cell_id").alias("near_cell"), *[c.alias(n) for c, n in zip(unit_vector(F.col("phi"), F.col("theta")), ("cx", "cy", "cz"), strict=True)])
-    around = [F.array(*[F.floor(F.col(c) / reach) + d for c, d in zip(("cx", "cy", "cz"), (i, j, k), strict=True)]) for i in (-1, 0, 1) for j in (-1, 0, 1) for k in (-1, 0, 1)]
-    centre = centre.select(F.explode(F.array(*around)).alias("voxel"), "near_cell", "cx", "cy", "cz")
-    x, y, z = unit_vector(F.col("phi"), F.col("theta"))
-    known = obs.select("phi", "theta").where(F.col("phi").isNotNull() & F.col("theta").isNotNull()).distinct()
-    d2 = F.round((x - F.col("cx")) ** 2 + (y - F.col("cy")) ** 2 + (z - F.col("cz")) ** 2, 12)
-    near = known.withColumn("voxel", pick).join(centre, "voxel").groupBy("phi", "theta").agg(F.min(F.struct(d2.alias("d"), F.col("near_cell")))["near_cell"].alias(name))
-    return obs.drop(name).join(near, ["phi", "theta"], "left")
+    axes = ("x_", "y_", "z_")
+    to_axes = dict(zip(axes, unit_vector(F.col("phi"), F.col("theta")), strict=True))
+    centre = grid.select(F.col("cell_id").alias("near_"), *[c.alias(a) for a, c in to_axes.items()])
+    around = [F.array(*[F.floor(F.col(a) / reach) + d for a, d in zip(axes, (i, j, k), strict=True)]) for i in (-1, 0, 1) for j in (-1, 0, 1) for k in (-1, 0, 1)]
+    lists = centre.select(F.explode(F.array(*around)).alias("voxel_"), F.struct("near_", *axes).alias("c_")).groupBy("voxel_").agg(F.collect_list("c_").alias("near_"))
+    if grid.count() <= BROADCAST_CELLS:
+        lists = F.broadcast(lists)
+    known = obs.drop(name).withColumns(to_axes).withColumn("voxel_", F.array(*[F.floor(F.col(a) / reach) for a in axes]))
+    far = lambda c: F.round(sum(((F.col(a) - c[a]) ** 2 for a in axes), F.lit(0.0)), 12)
+    nearest = F.array_min(F.transform("near_", lambda c: F.struct(far(c).alias("d"), c["near_"].alias("cell"))))
+    return known.join(lists, "voxel_", "left").withColumn(name, nearest["cell"]).drop("voxel_", "near_", *axes)

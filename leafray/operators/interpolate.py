@@ -1,8 +1,7 @@
 """Orbit and clock interpolation in closed form.
 
 Knots learn their successor by ``lead``; targets meet the knot before them in
-one ordered pass per satellite (union and last value), so nothing is joined by
-range.
+an ordered pass over parts of the time axis, so nothing is joined by range.
 """
 
 from __future__ import annotations
@@ -13,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leafray.functions.columns import micros
+from leafray.operators.ordered import around
 
 AXES = ("x", "y", "z")
 
@@ -42,13 +42,10 @@ def hermite_speed(z: Column, h: Column, p0: Column, v0: Column, p1: Column, v1:
 
 def _meet(knots: DataFrame, targets: DataFrame, key: str, knot: Column) -> DataFrame:
     """Targets (key, epoch) with the struct ``k_`` of the knot at or before them, or the first one."""
-    k = knots.select(key, "t_", knot.alias("own_"), F.lit(None).cast("timestamp_ntz").alias("epoch"))
-    t = targets.select(key, (F.floor(micros(F.col("epoch")) / 1e6)).cast("double").alias("t_"), "epoch").withColumn("own_", F.lit(None).cast(k.schema["own_"].dataType))
-    w = Window.partitionBy(key).orderBy("t_")
-    both = k.unionByName(t)
-    both = both.withColumn("k_", F.last("own_", ignorenulls=True).over(w.rangeBetween(Window.unboundedPreceding, 0)))
-    both = both.withColumn("f_", F.first("own_", ignorenulls=True).over(w.rangeBetween(0, Window.unboundedFollowing)))
-    return both.where("epoch is not null").withColumn("k_", F.coalesce("k_", "f_"))
+    k = knots.select(key, "t_", knot.alias("own_"))
+    t = targets.select(key, "epoch", (F.floor(micros(F.col("epoch")) / 1e6)).cast("double").alias("t_"))
+    met = around(k, t, [key], "t_", "own_", 86_400.0)
+    return met.withColumn("k_", F.coalesce("before_", "after_"))
 
 
 def positions(orbits: DataFrame, targets: DataFrame, key: str = "sv", axes: Sequence[str] = AXES) -> DataFrame:

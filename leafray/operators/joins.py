@@ -8,37 +8,35 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leafray.functions.columns import micros
+from leafray.operators.ordered import around
 
 
-def nearest_asof(left: DataFrame, right: DataFrame, keys: Sequence[str], time: str, values: Sequence[str], tolerance_seconds: float | None = None) -> DataFrame:
+def nearest_asof(left: DataFrame, right: DataFrame, keys: Sequence[str], time: str, values: Sequence[str], tolerance_seconds: float | None = None, part_seconds: int = 86_400) -> DataFrame:
     """``left`` with the values of the row of ``right`` nearest in time per key, and ``asof_gap`` in seconds; ties take the earlier.
 
-    Both sides are unioned and each left row takes the last and the next right
-    row: one shuffle by key, no range join. Of right rows at one instant the
-    greatest values stay. Without a match the values are null.
+    No range join: each left row takes the last and the next right row of its
+    key (``ordered.around``), in parts of ``part_seconds``. Of right rows at one
+    instant the greatest values stay. Without a match the values are null.
     """
-    r = right.groupBy(*keys, micros(F.col(time)).alias("t_")).agg(F.max(F.struct(*values)).alias("v_")).withColumn("side_", F.lit(0)).withColumn("row_", F.lit(None).cast("string"))
-    row = F.struct(*[F.col(c) for c in left.columns]).alias("row_")
-    l = left.select(*keys, micros(F.col(time)).alias("t_"), row).withColumn("v_", F.lit(None).cast(r.schema["v_"].dataType)).withColumn("side_", F.lit(1))
-    both = r.drop("row_").withColumn("row_", F.lit(None).cast(l.schema["row_"].dataType)).unionByName(l)
-    here = F.when(F.col("side_") == 0, F.struct("t_", "v_"))
-    w = Window.partitionBy(*keys).orderBy("t_")
-    known = both.withColumn("p_", F.last(here, ignorenulls=True).over(w.rangeBetween(Window.unboundedPreceding, 0)))
-    known = known.withColumn("n_", F.first(here, ignorenulls=True).over(w.rangeBetween(0, Window.unboundedFollowing))).where("side_ = 1")
-    before, after = F.col("t_") - F.col("p_.t_"), F.col("n_.t_") - F.col("t_")
-    use = F.when(F.col("n_").isNull() | (before <= after), F.col("p_")).otherwise(F.col("n_"))
+    r = right.groupBy(*keys, micros(F.col(time)).alias("t_")).agg(F.max(F.struct(*values)).alias("v_"))
+    r = r.withColumn("knot_", F.struct("t_", "v_"))
+    known = around(r, left.withColumn("t_", micros(F.col(time))), keys, "t_", "knot_", part_seconds * 1_000_000)
+    before, after = F.col("t_") - F.col("before_.t_"), F.col("after_.t_") - F.col("t_")
+    use = F.when(F.col("after_").isNull() | (before <= after), F.col("before_")).otherwise(F.col("after_"))
     known = known.withColumn("use_", use).withColumn("asof_gap", F.abs(F.col("use_.t_") - F.col("t_")) / 1e6)
     if tolerance_seconds is not None:
         known = known.withColumn("use_", F.when(F.col("asof_gap") <= tolerance_seconds, F.col("use_"))).withColumn("asof_gap", F.when(F.col("use_").isNotNull(), F.col("asof_gap")))
-    return known.select(*[F.col(f"row_.{c}").alias(c) for c in left.columns], *[F.col(f"use_.v_.{v}").alias(v) for v in values], "asof_gap")
+    return known.select(*left.columns, *[F.col(f"use_.v_.{v}").alias(v) for v in values], "asof_gap")
 
 
-def overlapping(left: DataFrame, right: DataFrame, bucket_seconds: int, closed: bool = True, on: Sequence[str] = ()) -> DataFrame:
+def overlapping(left: DataFrame, right: DataFrame, bucket_seconds: int, closed: bool = True, on: Sequence[str] = (), open_ends: bool = True) -> DataFrame:
     """Pairs of rows whose intervals [start, end] overlap: all columns of both (those of ``right`` with ``_2``).
 
     Each interval is listed in the time buckets it touches, so pairs meet in an
     equi-join; a pair is kept in the bucket where its common part begins. A
-    null end lasts until year 9999. Half-open intervals don't meet at their ends.
+    null end lasts until year 9999; where it is known that there is none,
+    ``open_ends`` = False spares the pass that finds how far buckets must go.
+    Half-open intervals don't meet at their ends.
     """
     width = bucket_seconds * 1_000_000
     last = F.lit(253_402_300_799_000_000)
@@ -52,7 +50,13 @@ def overlapping(left: DataFrame, right: DataFrame, bucket_seconds: int, closed:
     l, r = spread(left, ""), spread(right, "_2")
     # open intervals would fill buckets without end, so buckets stop where the other side does
     stop = l.agg(F.max("a_").alias("m")).unionByName(r.agg(F.max("a_2_").alias("m"))).agg(F.max("m").alias("stop_"))
-    put = lambda df, tag: df.join(F.broadcast(stop)).withColumn("bucket_", F.explode(F.sequence(F.floor(F.col(f"a{tag}_") / width), F.greatest(F.floor(F.col(f"a{tag}_") / width), F.floor(F.least(F.col(f"b{tag}_"), F.col("stop_")) / width))))).drop("stop_")
+
+    def put(df: DataFrame, tag: str) -> DataFrame:
+        first, end = F.floor(F.col(f"a{tag}_") / width), F.col(f"b{tag}_")
+        if open_ends:
+            df, end = df.join(F.broadcast(stop)), F.least(end, F.col("stop_"))
+        return df.withColumn("bucket_", F.explode(F.sequence(first, F.greatest(first, F.floor(end / width))))).drop("stop_")
+
     l, r = put(l, ""), put(r, "_2")
     same = (l["bucket_"] == r["bucket_"])
     for k in on:
