@@ -94,9 +94,9 @@ def overlap_bound(a: Column, b: Column, size: Column) -> Column:
 
 
 def sign(docs: DataFrame, length: int = WORDS) -> DataFrame:
-    """doc_id, row, n_shingles, text_sha, and for non-empty sets digest, bits and bands."""
+    """doc_id, row, print (of the text), n_shingles, text_sha, and for non-empty sets digest, bits and bands."""
     ints = pa.list_(pa.int64())
-    schema = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("n_shingles", pa.int64()), ("text_sha", pa.binary()), ("digest", pa.binary()), ("bits", ints), ("bands", ints)])
+    schema = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("print", pa.int64()), ("n_shingles", pa.int64()), ("text_sha", pa.binary()), ("digest", pa.binary()), ("bits", ints), ("bands", ints)])
 
     def nested(matrix: np.ndarray, full: np.ndarray) -> pa.Array:
         width = matrix.shape[1]
@@ -104,39 +104,37 @@ def sign(docs: DataFrame, length: int = WORDS) -> DataFrame:
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(matrix.reshape(-1)), mask=pa.array(~full))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes, shas, digests, found = [], [], [], []
-            for text in batch.column(2).to_pylist():
-                s = words.shingles(words.split(text, lower=True), length)
-                sizes.append(len(s))
-                shas.append(hashlib.sha256((text or "").encode()).digest())
-                digests.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
-                if len(s):
-                    found.append(minima(s))
-            m = np.array(found, np.uint32).reshape(-1, K)
-            full = np.array(sizes, np.int64) > 0
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(shas, pa.binary()), pa.array(digests, pa.binary()), nested(packed(m), full), nested(band_keys(m), full)], schema=schema)
-
-    rows = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), "text")
-    return rows.mapInArrow(run, "doc_id long, row long, n_shingles long, text_sha binary, digest binary, bits array<long>, bands array<long>")
-
-
-def _sets(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """The full sets of the ``wanted`` nodes (node, id, digest, bits, n): node, n, bits, bitmap, shingles."""
+        for piece in words.pieces(batches, "text"):
+            sets = words.shingle_sets(words.Words(piece.column("text"), words.LOWER), length)
+            full = np.array([len(s) > 0 for s in sets], bool)
+            m = np.array([minima(s) for s in sets if len(s)], np.uint32).reshape(-1, K)
+            shas = [hashlib.sha256(t.as_buffer() if t.is_valid else b"").digest() for t in piece.column("text").cast(pa.large_binary())]
+            digests = [xxhash.xxh3_128_digest(s) if len(s) else None for s in sets]
+            sizes = pa.array([len(s) for s in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([*[piece.column(c) for c in ("doc_id", "row", "print")], sizes, pa.array(shas, pa.binary()), pa.array(digests, pa.binary()), nested(packed(m), full), nested(band_keys(m), full)], schema=schema)
+
+    rows = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), F.xxhash64("text").alias("print"), "text")
+    return rows.mapInArrow(run, "doc_id long, row long, print long, n_shingles long, text_sha binary, digest binary, bits array<long>, bands array<long>")
+
+
+def _sets(docs: DataFrame, wanted: DataFrame, length: int, repeats: bool) -> DataFrame:
+    """The full sets of the ``wanted`` nodes (node, id, print, digest, bits, n): node, n, bits, bitmap, shingles.
+
+    Texts are met by id and print, so that rows without an id don't all meet
+    each other; with ``repeats``, rows that repeat both are one text first.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("node", pa.int64()), ("n", pa.int64()), ("bits", pa.list_(pa.int64())), ("bitmap", pa.list_(pa.int64())), ("shingles", pa.list_(pa.int64()))])
-        for batch in batches:
-            out = []
-            for node, digest, n, bits, text in zip(*[batch.column(i).to_pylist() for i in range(5)], strict=True):
-                s = words.shingles(words.split(text, lower=True), length)
-                if xxhash.xxh3_128_digest(s.tobytes()) == digest:
-                    out.append({"node": node, "n": n, "bits": bits, "bitmap": bitmap(s), "shingles": s.view(np.int64)})
-            yield pa.RecordBatch.from_pylist(out, schema)
+        for piece in words.pieces(batches, "text"):
+            sets = words.shingle_sets(words.Words(piece.column("text"), words.LOWER), length)
+            same = pa.array([xxhash.xxh3_128_digest(s) == d for s, d in zip(sets, piece.column("digest").to_pylist(), strict=True)], pa.bool_())
+            lists = [words.listed(x, pa.int64()) for x in ([bitmap(s) for s in sets], [s.view(np.int64) for s in sets])]
+            yield pa.RecordBatch.from_arrays([*[piece.column(c) for c in ("node", "n", "bits")], *lists], names=["node", "n", "bits", "bitmap", "shingles"]).filter(same)
 
-    texts = docs.select(F.col("doc_id").alias("id2"), "text")
-    joined = texts.join(wanted, F.col("id").eqNullSafe(F.col("id2"))).select("node", "digest", "n", "bits", "text")
-    return joined.mapInArrow(run, "node long, n long, bits array<long>, bitmap array<long>, shingles array<long>").dropDuplicates(["node"])
+    texts = docs.select(F.col("doc_id").alias("id2"), F.xxhash64("text").alias("print2"), "text")
+    texts = texts.distinct() if repeats else texts
+    joined = texts.join(wanted, (F.col("print") == F.col("print2")) & F.col("id").eqNullSafe(F.col("id2"))).select("node", "digest", "n", "bits", "text")
+    return joined.mapInArrow(run, "node long, n long, bits array<long>, bitmap array<long>, shingles array<long>")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
@@ -198,8 +196,9 @@ def near_copies(spark: SparkSession, docs: DataFrame, length: int = WORDS, thres
     shared = materialize(keys.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), f"{root}/shared_keys")
     members = materialize(join_counted(keys, shared, "key", "c", N_BANDS * total, 100 * N_BANDS), f"{root}/members")
     weight = members.groupBy("node").agg(F.sum("c").alias("weight"))
-    candidates = nodes.join(weight, nodes["row"] == weight["node"]).select("node", F.col("doc_id").alias("id"), "digest", "bits", F.col("n_shingles").alias("n"))
-    sets = materialize(_sets(docs, candidates, length), f"{root}/sets")
+    candidates = nodes.join(weight, nodes["row"] == weight["node"]).select("node", F.col("doc_id").alias("id"), "print", "digest", "bits", F.col("n_shingles").alias("n"))
+    repeats = not signed.groupBy("doc_id", "print").count().where("count > 1").isEmpty()
+    sets = materialize(_sets(docs, candidates, length, repeats), f"{root}/sets")
 
     hubs = members.join(weight, "node").groupBy("key").agg(F.max(F.struct("weight", "node"))["node"].alias("hub"), F.count(F.lit(1)).alias("c"))
     hubs = materialize(hubs, f"{root}/hubs")

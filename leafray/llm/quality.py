@@ -1,8 +1,8 @@
 """Quality classifier with supervised subword embeddings.
 
 A text is the average of learned vectors of its words and of its character
-n-grams (three and four bytes of one word, or of a word and the white space next
-to it), all hashed to a fixed number of buckets; a softmax over the average gives
+n-grams (three and four characters of one word, or of a word and the white space
+next to it), all hashed to a fixed number of buckets; a softmax over the average gives
 the two labels. Vectors and output weights are trained together by stochastic
 gradient descent in numpy on a bounded sample. The softmax of two labels
 depends on the difference of their outputs only, which is linear in the
@@ -24,31 +24,33 @@ from leafray.llm import labelled, words
 
 #: Labelled rows and bytes of text that are fitted on, at most.
 SAMPLE, SAMPLE_BYTES = 6_000, 48_000_000
+#: What a row counts besides its text.
+ROW_BYTES = 64
 #: Buckets of words and of n-grams, width of vectors, passes over the sample, first step.
 WORD_BITS, GRAM_BITS, WIDTH, EPOCHS, STEP = 16, 17, 8, 4, 0.5
 
-_SPACES = bytes(32 if c in (9, 10, 11, 12, 13) else c for c in range(256))
 
-
-def features(text: str | None) -> np.ndarray:
-    """Buckets of all words and n-grams of a text, repeats included."""
-    raw = (text or "").encode().translate(_SPACES)
-    word = words.hashes(raw.split()) >> np.uint64(64 - WORD_BITS)
-    b = np.frombuffer(raw, np.uint8).astype(np.uint32)
-    out = [word.astype(np.int64)]
-    space = b == 32
+def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of all words and n-grams of the texts, repeats included, and which text each belongs to."""
+    w = words.Words(texts)
+    strings = ["" if t is None else t for t in texts.to_pylist()]
+    chars = np.frombuffer("".join(strings).encode("utf-32-le"), np.uint32)
+    space = (chars == 32) | ((chars >= 9) & (chars <= 13))
+    chars = np.where(space, np.uint32(32), chars)
+    text = np.repeat(np.arange(len(strings)), [len(t) for t in strings])
+    buckets, owners = [(w.hashes() >> np.uint64(64 - WORD_BITS)).astype(np.int64)], [np.repeat(np.arange(len(strings)), w.counts())]
     for n in (3, 4):
-        if len(b) < n:
-            continue
-        h = np.full(len(b) - n + 1, n, np.uint32)
-        inner = np.ones(len(h), bool)
+        size = max(0, len(chars) - n + 1)
+        h = np.full(size, n, np.uint32)
+        inner = text[:size] == text[len(text) - size :]
         for j in range(n):
-            h = (h ^ b[j : j + len(h)]) * np.uint32(0x01000193)
+            h = (h ^ chars[j : j + size]) * np.uint32(0x01000193)
             if 0 < j < n - 1:
-                inner &= ~space[j : j + len(h)]
+                inner &= ~space[j : j + size]
         h *= np.uint32(0x9E3779B1)
-        out.append((h >> np.uint32(32 - GRAM_BITS))[inner].astype(np.int64) + (1 << WORD_BITS))
-    return np.concatenate(out)
+        buckets.append((h >> np.uint32(32 - GRAM_BITS))[inner].astype(np.int64) + (1 << WORD_BITS))
+        owners.append(text[:size][inner])
+    return np.concatenate(buckets), np.concatenate(owners)
 
 
 @dataclass
@@ -64,7 +66,7 @@ class Model:
         output, bias = np.zeros((WIDTH, 2)), np.zeros(2)
         bags = []
         for t, y in zip(texts, labels, strict=True):
-            bucket, count = np.unique(features(t), return_counts=True)
+            bucket, count = np.unique(features(pa.array([t], pa.string()))[0], return_counts=True)
             if len(bucket):
                 bags.append((bucket, count / count.sum(), y))
         step, total, done = STEP, max(1, EPOCHS * len(bags)), 0
@@ -93,11 +95,12 @@ class Model:
 def fit(docs: DataFrame, sample: DataFrame) -> Model:
     """A model from a bounded ``sample`` of labels (doc_id, label): at most SAMPLE rows and SAMPLE_BYTES of whole texts.
 
-    Without rows the model's output is zero everywhere (score one half).
+    An id counts with all rows that repeat it, and is left out if they are too
+    many. Without rows the model's output is zero everywhere (score one half).
     """
     sample = sample.select(F.col("doc_id").alias("sample_id"), "label").cache()
     own = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("sample_id"))
-    sizes = own.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).alias("size")).groupBy("doc_id").agg(F.max("size").alias("size")).orderBy(F.xxhash64("doc_id", F.lit(17)), "doc_id").collect()
+    sizes = own.select("doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + ROW_BYTES).alias("size")).groupBy("doc_id").agg(F.sum("size").alias("size")).orderBy(F.xxhash64("doc_id", F.lit(17)), "doc_id").collect()
     chosen, used = [], 0
     for row in sizes:
         if used + row["size"] <= SAMPLE_BYTES:
@@ -115,13 +118,12 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     part, bias = model.folded()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            z = []
-            for text in batch.column(1).to_pylist():
-                f = features(text)
-                z.append(part[f].mean() + bias if len(f) else bias)
-            p = 1.0 / (1.0 + np.exp(-np.clip(np.array(z, np.float64), -500, 500)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p, pa.float64())], names=["doc_id", "score"])
+        for piece in words.pieces(batches, "text", 1 << 20):
+            bucket, owner = features(piece.column("text"))
+            n = np.bincount(owner, minlength=piece.num_rows)
+            z = np.bincount(owner, part[bucket], piece.num_rows) / np.maximum(n, 1) + bias
+            p = 1.0 / (1.0 + np.exp(-np.clip(z, -500, 500)))
+            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(p, pa.float64())], names=["doc_id", "score"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
 

@@ -4,18 +4,23 @@ Suffix automata of reference shards decide. The reference is not every text: a
 passage belongs to it only if it repeats, and only as its first document has
 it. Steps:
 
-1. Anchors. Every window of ``window`` words picks the smallest hash among its
+1. Whole copies. Of documents with the same words, only those of the smallest
+   doc_id go on; the words of all others are removed at once.
+2. Anchors. Every window of ``window`` words picks the smallest hash among its
    runs of ANCHOR words, so equal windows pick equal anchors, about one anchor
    in eighteen words. Anchors that two documents share mark where a repeat can be.
-2. Reference. Hashes of the windows at shared anchors, reduced to the smallest
-   doc_id of each, name the passages that repeat and the document where each
-   comes first. Those passages, as words, are dealt to shards of a bounded size.
-3. Matching. Each shard's passages become a suffix automaton whose states know
+3. Reference. 128-bit hashes of the windows at shared anchors, reduced to the
+   smallest doc_id of each, name the passages that repeat and the document where
+   each comes first. Those passages, as words, are dealt to shards of a bounded
+   size.
+4. Matching. Each shard's passages become a suffix automaton whose states know
    their smallest doc_id. It is sent to every group of documents that share an
    anchor with the shard; they are streamed through it for matching statistics.
    Where the statistic reaches ``window`` in a state of a smaller doc_id, the
    window is removed. Words are compared as words here, so a hash that collides
-   cannot remove anything.
+   cannot remove anything. An anchor that stands in more than WIDE shards (a
+   common line amid many passages) would send each of its documents to all of
+   them; there the windows' hashes find the one shard that has the window.
 
 Automata of all documents, broadcast to all, would grow with the corpus and
 make the work quadratic; here each automaton goes only to the documents that
@@ -30,8 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from numpy.lib.stride_tricks import sliding_window_view
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafray.llm import words
@@ -42,16 +46,47 @@ WINDOW = 50
 ANCHOR = 16
 #: Words of a reference shard, windows of one reference passage, and words streamed in one group, about.
 SHARD, PIECE, GROUP = 40_000, 4_096, 400_000
+#: Shards that an anchor may lead to.
+WIDE = 8
 #: Stands for a null doc_id: no smaller than any.
 LAST = 2**63 - 1
 
 
-def anchored(h: np.ndarray, window: int) -> np.ndarray:
-    """The anchor (as int64) of every window of the word hashes ``h``."""
-    if len(h) < window:
-        return np.empty(0, np.int64)
-    size = min(ANCHOR, window)
-    return sliding_window_view(words.runs(h, size), window - size + 1).min(axis=1).view(np.int64)
+class Pieces:
+    """A piece's texts with, for each place where a window begins, its anchor and the halves of its 128-bit hash (as int64)."""
+
+    def __init__(self, texts: pa.Array, window: int):
+        self.words, self.window = words.Words(texts), window
+        self.h = self.words.hashes()
+        size = min(ANCHOR, window)
+        self.anchors = _smallest(words.runs(self.h, size), window - size + 1).view(np.int64)
+
+    def place(self, i: int) -> slice:
+        """The windows of text ``i``."""
+        a, b = int(self.words.first[i]), int(self.words.first[i + 1])
+        return slice(a, max(a, b - self.window + 1))
+
+    def hashes(self) -> tuple[np.ndarray, np.ndarray]:
+        return words.runs(self.h, self.window).view(np.int64), self.second().view(np.int64)
+
+    def second(self) -> np.ndarray:
+        return words.runs(words.mixed(self.h + np.uint64(1)), self.window)
+
+
+def _smallest(x: np.ndarray, width: int) -> np.ndarray:
+    """The minimum of the ``width`` values from each place on."""
+    if len(x) < width:
+        return x[:0]
+    size = 1
+    while 2 * size <= width:
+        x = np.minimum(x[:-size], x[size:])
+        size *= 2
+    return np.minimum(x[: len(x) - (width - size)], x[width - size :])
+
+
+def _values(column: pa.Array) -> list[np.ndarray]:
+    """A column of lists as arrays; null is empty."""
+    return [np.empty(0, np.int64) if v is None else np.asarray(v.values) for v in ((x if x.is_valid else None) for x in column)]
 
 
 class Automaton:
@@ -141,90 +176,103 @@ def intervals(starts: list[int], window: int) -> list[tuple[int, int]]:
 
 
 def _survey(docs: DataFrame, window: int) -> DataFrame:
-    """row, doc_id, n_words, joined_sha (of all words), anchors."""
-    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_words", pa.int64()), ("joined_sha", pa.binary()), ("anchors", pa.list_(pa.int64()))])
+    """row, doc_id, doc (never null), print, n_words, joined_sha (of all words), anchors."""
+    names = ["row", "doc_id", "doc", "print"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n, sha, anchors = [], [], []
-            for text in batch.column(2).to_pylist():
-                w = words.split(text)
-                n.append(len(w))
-                sha.append(hashlib.sha256(b" ".join(w)).digest())
-                anchors.append(np.unique(anchored(words.hashes(w), window)) if len(w) >= window else np.empty(0, np.int64))
-            offsets = np.concatenate([[0], np.cumsum([len(a) for a in anchors])]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(anchors) if anchors else np.empty(0, np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(sha, pa.binary()), lists], schema=schema)
+        for piece in words.pieces(batches, "text"):
+            p = Pieces(piece.column("text"), window)
+            sha = [hashlib.sha256(p.words.joined(i)).digest() for i in range(len(p.words))]
+            anchors = words.listed([np.unique(p.anchors[p.place(i)]) for i in range(len(p.words))], pa.int64())
+            yield pa.RecordBatch.from_arrays([*[piece.column(c) for c in names], pa.array(p.words.counts(), pa.int64()), pa.array(sha, pa.binary()), anchors], names=[*names, "n_words", "joined_sha", "anchors"])
 
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
-    return rows.mapInArrow(run, "row long, doc_id long, n_words long, joined_sha binary, anchors array<long>")
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.coalesce("doc_id", F.lit(LAST)).alias("doc"), F.xxhash64("text").alias("print"), "text")
+    return rows.mapInArrow(run, "row long, doc_id long, doc long, print long, n_words long, joined_sha binary, anchors array<long>")
 
 
 def _texts(docs: DataFrame, wanted: DataFrame, repeats: bool) -> DataFrame:
-    """row, doc (never null), anchors, text of the rows in ``wanted`` (row, doc_id, joined_sha, anchors)."""
+    """row, doc, anchors, text of the rows in ``wanted`` (row, doc_id, doc, print, joined_sha, anchors).
+
+    Texts are met by id and print, so that rows without an id don't all meet
+    each other; with ``repeats``, rows that repeat both are one text first.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            same = [hashlib.sha256(b" ".join(words.split(t))).digest() == d for t, d in zip(batch.column(4).to_pylist(), batch.column(3).to_pylist(), strict=True)]
-            yield batch.filter(pa.array(same)).select(["row", "doc", "anchors", "text"])
+        for piece in words.pieces(batches, "text"):
+            w = words.Words(piece.column("text"))
+            same = [hashlib.sha256(w.joined(i)).digest() == d for i, d in enumerate(piece.column("joined_sha").to_pylist())]
+            yield piece.filter(pa.array(same, pa.bool_())).select(["row", "doc", "anchors", "text"])
 
-    texts = docs.select(F.col("doc_id").alias("id2"), "text")
-    joined = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("id2")))
-    joined = joined.select("row", F.coalesce("doc_id", F.lit(LAST)).alias("doc"), "anchors", "joined_sha", "text")
-    out = joined.mapInArrow(run, "row long, doc long, anchors array<long>, text string")
-    return out.dropDuplicates(["row"]) if repeats else out
+    texts = docs.select(F.col("doc_id").alias("id2"), F.xxhash64("text").alias("print2"), "text")
+    texts = texts.distinct() if repeats else texts
+    joined = texts.join(wanted, (F.col("print") == F.col("print2")) & F.col("doc_id").eqNullSafe(F.col("id2")))
+    return joined.select("row", "doc", "anchors", "joined_sha", "text").mapInArrow(run, "row long, doc long, anchors array<long>, text string")
 
 
-def _windows(touched: DataFrame, window: int) -> DataFrame:
-    """(h, doc) of every window at a shared anchor."""
+def _windows(texts: DataFrame, window: int, *keep: str) -> DataFrame:
+    """(h, h2, ``keep``) of every distinct window at the ``anchors`` of (anchors, text, ``keep``: longs)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for doc, shared, text in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
-                h = words.hashes(words.split(text))
-                w = np.unique(words.runs(h, window)[np.isin(anchored(h, window), np.asarray(shared.values))].view(np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(w), pa.array(np.full(len(w), doc, np.int64))], names=["h", "doc"])
+        for piece in words.pieces(batches, "text"):
+            p = Pieces(piece.column("text"), window)
+            h, h2 = p.hashes()
+            found = []
+            for i, shared in enumerate(_values(piece.column("anchors"))):
+                at = p.place(i)
+                own = np.flatnonzero(np.isin(p.anchors[at], shared)) + at.start
+                found.append(own[np.unique(h[own], return_index=True)[1]])
+            at = np.concatenate(found)
+            times = [len(f) for f in found]
+            kept = [pa.array(piece.column(c).to_numpy(zero_copy_only=False).repeat(times), pa.int64()) for c in keep]
+            yield pa.RecordBatch.from_arrays([pa.array(h[at]), pa.array(h2[at]), *kept], names=["h", "h2", *keep])
 
-    return touched.select("doc", "anchors", "text").mapInArrow(run, "h long, doc long")
+    return texts.select("anchors", "text", *keep).mapInArrow(run, ", ".join(f"{c} long" for c in ("h", "h2", *keep)))
+
+
+def _stretches(at: np.ndarray, gap: int) -> list[np.ndarray]:
+    """Sorted places, split where the next is more than ``gap`` away."""
+    return np.split(at, np.flatnonzero(np.diff(at) > gap) + 1) if len(at) else []
 
 
 def _passages(first: DataFrame, window: int) -> DataFrame:
-    """Reference passages of (doc, own, text): doc, piece, anchors, n words, passage."""
-    schema = pa.schema([("doc", pa.int64()), ("piece", pa.int64()), ("anchors", pa.list_(pa.int64())), ("n", pa.int64()), ("passage", pa.string())])
+    """Reference passages of (row, doc, own, text): row, doc, piece, anchors, n words, passage."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for doc, own, text in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
-                w = words.split(text)
-                h = words.hashes(w)
-                at = np.flatnonzero(np.isin(words.runs(h, window), np.asarray(own.values).view(np.uint64)))
-                anchors = anchored(h, window)
-                for run_ in np.split(at, np.flatnonzero(np.diff(at) > 1) + 1) if len(at) else []:
-                    for i in range(0, len(run_), PIECE):
-                        a, b = int(run_[i]), int(run_[min(i + PIECE, len(run_)) - 1])
-                        out.append({"doc": doc, "piece": a // PIECE, "anchors": np.unique(anchors[a : b + 1]), "n": b - a + window, "passage": b" ".join(w[a : b + window]).decode()})
-            yield pa.RecordBatch.from_pylist(out, schema)
-
-    return first.select("doc", "own", "text").mapInArrow(run, "doc long, piece long, anchors array<long>, n long, passage string")
+        for piece in words.pieces(batches, "text"):
+            p, ids = Pieces(piece.column("text"), window), [piece.column(c).to_pylist() for c in ("row", "doc")]
+            h, rows, anchors = words.runs(p.h, window).view(np.int64), [], []
+            for i, own in enumerate(_values(piece.column("own"))):
+                at = p.place(i)
+                for found in _stretches(np.flatnonzero(np.isin(h[at], own)) + at.start, 1):
+                    for k in range(0, len(found), PIECE):
+                        a, b = int(found[k]), int(found[min(k + PIECE, len(found)) - 1])
+                        anchors.append(np.unique(p.anchors[a : b + 1]))
+                        rows.append((ids[0][i], ids[1][i], (a - at.start) // PIECE, b - a + window, p.words.between(a, b + window).decode()))
+            columns = list(zip(*rows, strict=True)) or [()] * 5
+            numbers = [pa.array(c, pa.int64()) for c in columns[:4]]
+            yield pa.RecordBatch.from_arrays([*numbers, pa.array(columns[4], pa.string()), words.listed(anchors, pa.int64())], names=["row", "doc", "piece", "n", "passage", "anchors"])
+
+    return first.select("row", "doc", "own", "text").mapInArrow(run, "row long, doc long, piece long, n long, passage string, anchors array<long>")
 
 
 def _queries(routed: DataFrame, window: int) -> DataFrame:
-    """What is streamed: (shard, salt, row, doc, start, span) for each run of windows at the shard's anchors."""
-    schema = pa.schema([("shard", pa.int64()), ("salt", pa.int64()), ("row", pa.int64()), ("doc", pa.int64()), ("start", pa.int64()), ("span", pa.string())])
+    """What is streamed: (shard, salt, row, doc, start, span) for each run of windows at the route's anchors or with its hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for x in batch.to_pylist():
-                w = words.split(x["text"])
-                anchors = anchored(words.hashes(w), window)
+        for piece in words.pieces(batches, "text"):
+            p, out = Pieces(piece.column("text"), window), []
+            h = words.runs(p.h, window).view(np.int64)
+            for i, x in enumerate(piece.select(["row", "doc", "routes"]).to_pylist()):
+                at = p.place(i)
                 for route in x["routes"]:
-                    at = np.flatnonzero(np.isin(anchors, np.array(route["anchors"], np.int64)))
-                    for run_ in np.split(at, np.flatnonzero(np.diff(at) > window) + 1) if len(at) else []:
-                        a, b = int(run_[0]), int(run_[-1])
-                        out.append({"shard": route["shard"], "salt": route["salt"], "row": x["row"], "doc": x["doc"], "start": a, "span": b" ".join(w[a : b + window]).decode()})
-            yield pa.RecordBatch.from_pylist(out, schema)
+                    hit = np.isin(p.anchors[at], np.array(route["anchors"], np.int64)) | np.isin(h[at], np.array(route["hashes"], np.int64))
+                    for found in _stretches(np.flatnonzero(hit), window):
+                        a, b = int(found[0]), int(found[-1])
+                        span = p.words.between(at.start + a, at.start + b + window).decode()
+                        out.append((route["shard"], route["salt"], x["row"], x["doc"], a, span))
+            columns = list(zip(*out, strict=True)) or [()] * 6
+            numbers = [pa.array(c, pa.int64()) for c in columns[:5]]
+            yield pa.RecordBatch.from_arrays([*numbers, pa.array(columns[5], pa.string())], names=["shard", "salt", "row", "doc", "start", "span"])
 
     return routed.mapInArrow(run, "shard long, salt long, row long, doc long, start long, span string")
 
@@ -255,27 +303,26 @@ def _kept(touched: DataFrame, spans: DataFrame) -> DataFrame:
     schema = pa.schema([("row", pa.int64()), ("spans", pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))), ("n_removed", pa.int64()), ("kept_text", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for x in batch.to_pylist():
+        for piece in words.pieces(batches, "text"):
+            w, out = words.Words(piece.column("text")), []
+            for i, x in enumerate(piece.select(["row", "spans"]).to_pylist()):
                 merged: list[list[int]] = []
                 for a, b in sorted((s["begin"], s["end"]) for s in x["spans"]):
                     if merged and a <= merged[-1][1]:
                         merged[-1][1] = max(merged[-1][1], b)
                     else:
                         merged.append([a, b])
-                w, kept, at = words.split(x["text"]), [], 0
-                for a, b in merged:
-                    kept += w[at:a]
-                    at = b
-                kept += w[at:]
-                out.append({"row": x["row"], "spans": [{"begin": a, "end": b} for a, b in merged], "n_removed": len(w) - len(kept), "kept_text": b" ".join(kept).decode()})
+                out.append({"row": x["row"], "spans": [{"begin": a, "end": b} for a, b in merged], "n_removed": sum(b - a for a, b in merged), "kept_text": w.joined(i, merged).decode()})
             yield pa.RecordBatch.from_pylist(out, schema)
 
     joined = touched.select("row", "text").join(spans, "row")
     return joined.mapInArrow(run, "row long, spans array<struct<begin:long,end:long>>, n_removed long, kept_text string")
 
 
+def _salted(row: Column, salts: Column) -> Column:
+    return F.pmod(F.xxhash64(row), salts)
+
+
 def remove_repeats(spark: SparkSession, docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """One row per row of ``docs``: doc_id, row, n_words, n_removed, spans, kept_text, joined_sha.
 
@@ -290,31 +337,54 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, window: int = WINDOW) -
     root = shared_dir(spark, "repeats")
     base = materialize(_survey(docs, window), f"{root}/base")
     total = base.count()
-    repeats = not base.groupBy("doc_id").count().where("count > 1").isEmpty()
-    anchors = base.select("row", F.coalesce("doc_id", F.lit(LAST)).alias("doc"), F.explode("anchors").alias("anchor"))
-    shared = anchors.groupBy("anchor").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo < hi").select("anchor", "n")
-    shared = materialize(shared, f"{root}/shared")
-    marked = join_counted(anchors.select("row", "anchor"), shared, "anchor", "n", total).groupBy("row").agg(F.collect_set("anchor").alias("anchors"))
-    wanted = base.select("row", "doc_id", "joined_sha").join(marked, "row")
-    touched = materialize(_texts(docs, wanted, repeats), f"{root}/touched")
-
-    first = _windows(touched, window).groupBy("h").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi").select("h", F.col("lo").alias("doc"))
-    own = first.groupBy("doc").agg(F.collect_list("h").alias("own"))
-    passages = materialize(_passages(touched.select("doc", "text").join(own, "doc"), window), f"{root}/passages")
+    alike = base.where(F.col("n_words") >= window).groupBy("joined_sha").agg(F.min("doc").alias("lead"), F.max("doc").alias("most"), F.count(F.lit(1)).alias("n"))
+    alike = materialize(alike.where("lead < most").select("joined_sha", "lead", "n"), f"{root}/alike")
+    whole = materialize(join_counted(base.select("row", "doc", "n_words", "joined_sha"), alike, "joined_sha", "n", total).where("lead < doc").select("row", "n_words"), f"{root}/whole")
+    lead = materialize(base.join(whole.select("row"), "row", "left_anti"), f"{root}/lead")
+
+    repeats = not lead.groupBy("doc_id", "print").count().where("count > 1").isEmpty()
+    anchors = lead.select("row", "doc", F.explode("anchors").alias("anchor"))
+    counted = anchors.groupBy("anchor").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"), F.count(F.lit(1)).alias("n"))
+    shared = materialize(counted.where("lo < hi").select("anchor", "n"), f"{root}/shared")
+    pairs = lead.agg(F.coalesce(F.sum(F.size("anchors")), F.lit(0))).first()[0]
+    marked = join_counted(anchors.select("row", "anchor"), shared, "anchor", "n", pairs).groupBy("row").agg(F.collect_set("anchor").alias("anchors"))
+    touched = materialize(_texts(docs, lead.drop("anchors", "n_words").join(marked, "row"), repeats), f"{root}/touched")
+
+    first = _windows(touched, window, "doc", "row").groupBy("h", "h2").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"), F.min_by("row", "doc").alias("row"))
+    own = first.where("lo < hi").groupBy("row").agg(F.collect_list("h").alias("own"))
+    passages = materialize(_passages(touched.select("row", "doc", "text").join(own, "row"), window), f"{root}/passages")
     n_shards = max(1, -(-(passages.agg(F.sum("n")).first()[0] or 0) // SHARD))
-    passages = passages.withColumn("shard", F.pmod(F.xxhash64("doc", "piece"), F.lit(n_shards)))
+    passages = passages.withColumn("shard", F.pmod(F.xxhash64("row", "piece"), F.lit(n_shards)))
 
     place = passages.select("shard", F.col("doc").alias("lo"), F.explode("anchors").alias("anchor")).groupBy("anchor", "shard").agg(F.min("lo").alias("lo"))
-    place = materialize(place.join(shared, "anchor"), f"{root}/place")
-    salts = place.groupBy("shard").agg(F.ceil(F.sum("n") * (window + 18) / GROUP).alias("salts"))
+    place = materialize(place, f"{root}/place")
+    spread = materialize(place.groupBy("anchor").agg(F.count(F.lit(1)).alias("shards")).join(shared, "anchor"), f"{root}/spread")
+    wide = spread.where(F.col("shards") > WIDE).select("anchor", "n")
+    narrow = place.join(spread.where(F.col("shards") <= WIDE), "anchor").groupBy("anchor", "n").agg(F.collect_list(F.struct("shard", "lo")).alias("to"))
+    narrow = materialize(narrow, f"{root}/narrow")
+    of_row = touched.select("row", "doc", F.explode("anchors").alias("anchor"))
+    by_anchor = join_counted(of_row, narrow, "anchor", "n", pairs).select("row", "doc", "anchor", F.explode("to").alias("to")).where("to.lo < doc")
+    asked = by_anchor.select("row", F.col("to.shard").alias("shard"), "anchor", F.lit(None).cast("long").alias("h"))
+    if not wide.isEmpty():
+        asked = asked.unionByName(_wide_routes(touched, passages, of_row, wide, pairs, window))
+    asked = asked.groupBy("row", "shard").agg(F.collect_set("anchor").alias("anchors"), F.collect_set("h").alias("hashes"))
+    asked = materialize(asked, f"{root}/asked")
+    salts = asked.groupBy("shard").agg(F.ceil(F.sum(F.size("anchors") * (window + 18) + F.size("hashes") * 2) / GROUP).alias("salts"))
     salts = materialize(salts, f"{root}/salts")
-    routes = place.join(salts, "shard").groupBy("anchor", "n").agg(F.collect_list(F.struct("shard", "salts", "lo")).alias("to"))
-    routes = materialize(routes, f"{root}/routes")
-    asked = join_counted(touched.select("row", "doc", F.explode("anchors").alias("anchor")), routes, "anchor", "n", total)
-    asked = asked.select("row", "doc", "anchor", F.explode("to").alias("to")).where("to.lo < doc")
-    asked = asked.groupBy("row", F.col("to.shard").alias("shard"), F.pmod(F.xxhash64("row"), F.col("to.salts")).alias("salt")).agg(F.collect_set("anchor").alias("anchors"))
-    asked = asked.groupBy("row").agg(F.collect_list(F.struct("shard", "salt", "anchors")).alias("routes"))
-    queries = _queries(touched.select("row", "doc", "text").join(asked, "row"), window)
+    routes = asked.join(salts, "shard").groupBy("row").agg(F.collect_list(F.struct("shard", _salted(F.col("row"), F.col("salts")).alias("salt"), "anchors", "hashes")).alias("routes"))
+    queries = _queries(touched.select("row", "doc", "text").join(routes, "row"), window)
     reference = passages.join(salts, "shard").select("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"), "doc", "passage")
-    kept = materialize(_kept(touched, _matched(reference, queries, window)), f"{root}/kept")
+    kept = _kept(touched, _matched(reference, queries, window))
+    all_of_it = F.array(F.struct(F.lit(0).cast("long").alias("begin"), F.col("n_words").alias("end")))
+    kept = materialize(kept.unionByName(whole.select("row", all_of_it.alias("spans"), F.col("n_words").alias("n_removed"), F.lit("").alias("kept_text"))), f"{root}/kept")
     return base.join(kept, "row", "left").select("doc_id", "row", "n_words", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"), "spans", "kept_text", "joined_sha")
+
+
+def _wide_routes(touched: DataFrame, passages: DataFrame, of_row: DataFrame, wide: DataFrame, pairs: int, window: int) -> DataFrame:
+    """(row, shard, no anchor, h) for the windows at wide anchors, by the one shard that has the window."""
+    at_wide = join_counted(of_row.select("row", "anchor"), wide, "anchor", "n", pairs).groupBy("row").agg(F.collect_set("anchor").alias("anchors"))
+    texts = passages.withColumn("anchor", F.explode("anchors")).join(wide, "anchor").groupBy("row", "piece").agg(F.collect_set("anchor").alias("anchors"))
+    texts = passages.drop("anchors").join(texts, ["row", "piece"]).select("anchors", F.col("passage").alias("text"), "shard")
+    known = _windows(texts, window, "shard").groupBy("h", "h2").agg(F.min("shard").alias("shard"))
+    asking = _windows(touched.select("row", "text").join(at_wide, "row"), window, "row")
+    return asking.join(known, ["h", "h2"]).select("row", "shard", F.lit(None).cast("long").alias("anchor"), "h")

@@ -51,8 +51,9 @@ def corpus(seed, window):
     return data
 
 
-@pytest.mark.parametrize(("seed", "window"), [(1, 20), (2, 50)])
-def test_against_all_windows(spark, monkeypatch, seed, window):
+@pytest.mark.parametrize(("seed", "window", "wide"), [(1, 20, 8), (2, 50, 8), (3, 20, 0), (4, 50, 1)])
+def test_against_all_windows(spark, monkeypatch, seed, window, wide):
+    monkeypatch.setattr(substring_dedup, "WIDE", wide)
     monkeypatch.setattr(substring_dedup, "SHARD", 150)
     monkeypatch.setattr(substring_dedup, "GROUP", 2000)
     data = corpus(seed, window)
@@ -62,3 +63,11 @@ def test_against_all_windows(spark, monkeypatch, seed, window):
 def test_nothing_to_do(spark):
     assert run(spark, [], 50) == []
     assert run(spark, [(1, "a b"), (2, "a b")], 50) == brute([(1, "a b"), (2, "a b")], 50)
+
+
+def test_many_null_and_repeated_ids(spark):
+    r = random.Random(7)
+    text = lambda: " ".join(r.choice("abcdefgh") + str(r.randint(0, 99)) for _ in range(60))
+    common = text()
+    data = [(5, common)] + [(None, f"{text()} {common}") for _ in range(3000)] + [(9, f"{common} {text()}") for _ in range(3000)] + [(None, common)] * 50
+    assert run(spark, data, 50) == brute(data, 50)
