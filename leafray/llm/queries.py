@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafray.llm import backoff, bpe, exact_dedup, hnsw, minhash, mixing, mixing_queries, ngrams, quality, substring_dedup, token_counts, toxicity
+from leafray.llm import bpe, exact_dedup, hnsw, minhash, mixing, mixing_queries, ngrams, quality, substring_dedup, token_counts, toxicity
 from leafray.llm.common import tokenizer_path
 
 
@@ -22,15 +22,18 @@ def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.select("doc_id", "n_shingles", "component_id", "kept")
 
 
-def op3_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = ngrams.scores(spark, _table(spark, sf_dir, "documents"), order=2, least=backoff.LEAST)
+def _rounded(found: DataFrame) -> DataFrame:
     return found.select("doc_id", "n_tokens", *[F.round(c, 6).alias(c) for c in ("log_score", "mean_log_score")])
 
 
+def op3_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each text by the counts of all others, three orders."""
+    return _rounded(ngrams.scores(spark, _table(spark, sf_dir, "documents"), leave_out=True))
+
+
 def op3_backoff_trigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every token, pair and trigram counts; nothing is left out for being rare."""
-    found = ngrams.scores(spark, _table(spark, sf_dir, "documents"), order=3, least=1)
-    return found.select("doc_id", "n_tokens", *[F.round(c, 6).alias(c) for c in ("log_score", "mean_log_score")])
+    """Each text by the counts of all texts, its own among them."""
+    return _rounded(ngrams.scores(spark, _table(spark, sf_dir, "documents")))
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,7 +60,8 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hnsw.near_vectors(spark, _table(spark, sf_dir, "embeddings"))
+    found = hnsw.near_vectors(spark, _table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "n_links", "component_id", "kept", (F.col("recall") >= 0.99).alias("recall_passed"))
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,4 +91,4 @@ QUERIES = {
     "op9_hnsw": op9_hnsw,
     "op10_exact_dedup": op10_exact_dedup,
 }
-ORACLES = {"op1_mixing": mixing_queries.sql(), "op3_backoff": backoff.SQL, "op3_backoff_trigrams": ngrams.SQL, "op10_exact_dedup": OP10_SQL}
+ORACLES = {"op1_mixing": mixing_queries.sql(), "op3_backoff": ngrams.LEFT_OUT_SQL, "op3_backoff_trigrams": ngrams.SQL, "op10_exact_dedup": OP10_SQL}

@@ -32,16 +32,17 @@ PRIOR, FLOOR, LEAST, Z, EFFECT, DRIFT = 500.0, 0.5, 4, 3.0, 1.5, 0.05
 #: Lengths in bytes of the prefixes that stand in for rare tokens. A prefix is written with a leading space.
 PREFIXES = (8, 7, 6, 5, 4)
 #: Tokens whose weight a worker remembers before it starts anew.
-MEMO = 500_000
+MEMO = 50_000
 #: A passage is significant if chance gives fewer than this many in a text.
 SIGNIFICANT = 0.05
 
-_SPLIT = bytes(c + 32 if 65 <= c <= 90 else c if chr(c).isalnum() and c < 128 or c >= 128 else 32 for c in range(256))
+#: From bytes to bytes: A-Z in lower case, and a space for every other ASCII character that is no letter or digit.
+SEPARATED = bytes(c + 32 if 65 <= c <= 90 else c if chr(c).isalnum() and c < 128 or c >= 128 else 32 for c in range(256))
 
 
 def tokens(text: str | None) -> list[bytes]:
     """Runs of ASCII letters and digits and of all non-ASCII characters, A-Z in lower case."""
-    return (text or "").encode().translate(_SPLIT).split()
+    return (text or "").encode().translate(SEPARATED).split()
 
 
 def maximal_segments(places: list[int], scores: list[float], drift: float) -> list[tuple[int, int, float]]:
@@ -207,27 +208,29 @@ def fit(docs: DataFrame, sample: DataFrame) -> Model:
     of_clean = rate(halves).where("label = 0 and n > 0").agg(F.count(F.lit(1)), chance).first()
     if of_clean[0] and of_clean[1]:
         halves[0].k = halves[1].k = model.k = of_clean[0] / of_clean[1]
+    # counted by hundredths of evidence (which ends below 800), so that ids with many rows bring no more points;
     # sorted, so that the fit doesn't depend on the order in which tasks end
-    points = sorted((r.label, r.evidence) for r in rate(halves).select("label", "evidence").collect())
-    model.slope, model.offset = _logistic(np.array([p[1] for p in points]), np.array([p[0] for p in points], float))
+    points = sorted(tuple(r) for r in rate(halves).groupBy("label", F.round("evidence", 2)).count().collect())
+    label, evidence, times = np.array(points, float).reshape(-1, 3).T
+    model.slope, model.offset = _logistic(evidence, label, times)
     sample.unpersist()
     return model
 
 
-def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of a logistic curve, by Newton steps with a slight ridge."""
+def _logistic(x: np.ndarray, y: np.ndarray, times: np.ndarray) -> tuple[float, float]:
+    """Slope and offset of a logistic curve over points that count ``times``, by Newton steps with a slight ridge."""
     if not len(y):
         return 0.0, -3.0
     design, beta = np.stack([x, np.ones_like(x)], 1), np.zeros(2)
 
     def loss(b: np.ndarray) -> float:
         z = design @ b
-        return float(np.logaddexp(0, z).sum() - z @ y + 5e-4 * b @ b)
+        return float(times @ (np.logaddexp(0, z) - z * y) + 5e-4 * b @ b)
 
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(design @ beta, -30, 30)))
-        curve = (design * (p * (1 - p))[:, None]).T @ design + 1e-3 * np.eye(2)
-        step = np.linalg.solve(curve, design.T @ (y - p) - 1e-3 * beta)
+        curve = (design * (times * p * (1 - p))[:, None]).T @ design + 1e-3 * np.eye(2)
+        step = np.linalg.solve(curve, design.T @ (times * (y - p)) - 1e-3 * beta)
         while loss(beta + step) > loss(beta) and np.abs(step).max() > 1e-9:
             step /= 2
         beta = beta + step

@@ -3,10 +3,11 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from leafray.llm import labelled, quality, toxicity
+from leafray.llm import labelled, quality, toxicity, words
 
 
 def brute_segments(values):
@@ -105,7 +106,7 @@ def test_softmax_equals_the_folded_score():
     model = quality.Model.fit(["good text here", "BAD TEXT", "fine words", "UGLY"] * 20, [1, 0, 1, 0] * 20)
     part, bias = model.folded()
     for t in ("good words", "BAD", "é x", ""):
-        f = quality.features(t)
+        f, _ = quality.features(pa.array([t]))
         z = (model.vectors[f].mean(axis=0) if len(f) else np.zeros(quality.WIDTH)) @ model.output + model.bias
         p = np.exp(z - z.max())
         assert abs(p[1] / p.sum() - 1 / (1 + np.exp(-((part[f].mean() if len(f) else 0) + bias)))) < 1e-9
@@ -116,3 +117,56 @@ def test_empty_tables(spark, corpus, run):
     docs, labels = corpus
     assert run(spark, docs.where(F.lit(False)), labels).count() == 0
     assert run(spark, docs, labels.where(F.lit(False))).count() == docs.count()
+
+
+def plain_features(text):
+    """Buckets of words and of character n-grams, by the definition."""
+    t = "".join(" " if c in "\t\n\x0b\x0c\r" else c for c in text or "")
+    out = []
+    for w in t.split(" "):
+        if w:
+            out.append(int(words.Words(pa.array([w])).hashes()[0]) >> (64 - quality.WORD_BITS))
+    for n in (3, 4):
+        for i in range(len(t) - n + 1):
+            gram = t[i : i + n]
+            if " " not in gram[1:-1]:
+                h = n
+                for c in gram:
+                    h = ((h ^ ord(c)) * 0x01000193) % 2**32
+                out.append(((h * 0x9E3779B1) % 2**32 >> (32 - quality.GRAM_BITS)) + (1 << quality.WORD_BITS))
+    return out
+
+
+def test_quality_scores_against_the_definition(spark):
+    model = quality.Model.fit(["good text here", "BAD TEXT", "fine wörds", "UGLY"] * 20, [1, 0, 1, 0] * 20)
+    data = [(1, "good words"), (2, None), (3, ""), (4, " \n"), (5, "é x\tBAD  TEXT"), (None, "ab"), (5, "日本語 text"), (6, "fine " * 3000)]
+    got = quality.score(spark.createDataFrame(data, "doc_id long, text string").coalesce(1), model).collect()
+    for (d, t), x in zip(data, got, strict=True):
+        f = plain_features(t)
+        z = (model.vectors[f].mean(axis=0) if f else np.zeros(quality.WIDTH)) @ model.output + model.bias
+        p = np.exp(z - z.max())
+        assert x.doc_id == d and abs(x.score - p[1] / p.sum()) < 1e-9
+
+
+def test_toxicity_scores_against_the_definition(spark):
+    model = toxicity.Model({b"zork": 3.0, b"zonk": 2.1, b"calm": -2.5, b" blar": 2.7}, rate=0.4, k=0.3, slope=0.8, offset=-2.0)
+    r = random.Random(3)
+    data = [(i, " ".join(r.choice(["zork", "Zonk!", "calm", "blargh", "a", "b", "é"]) for _ in range(r.randint(0, 25)))) for i in range(60)] + [(99, None)]
+    got = toxicity.score(spark.createDataFrame(data, "doc_id long, text string").coalesce(1), model).collect()
+    for (d, t), x in zip(data, got, strict=True):
+        tokens = toxicity.tokens(t)
+        weight = [model.weights.get(w, 2.7 if w.startswith(b"blar") else 0.0) for w in tokens]
+        rated = [(s, 0.3 * len(tokens) * np.exp(-0.4 * s)) for _, _, s in brute_segments([v - toxicity.DRIFT for v in weight])]
+        best = max((s for s, _ in rated), default=0.0)
+        counted = [(s, e) for s, e in rated if e < toxicity.SIGNIFICANT or abs(s - best) < 1e-9]
+        want = 1 / (1 + np.exp(-(-2.0 + 0.8 * np.log1p(sum(1 / e for _, e in counted)))))
+        assert x.doc_id == d and abs(x.score - want) < 1e-9
+        assert len(x.passages) == sum(e < toxicity.SIGNIFICANT for _, e in rated)
+
+
+def test_repeated_ids_stay_bounded(spark):
+    """An id with very many rows brings neither all of them to the driver nor an error."""
+    docs = spark.range(20_000).selectExpr("id % 40 as k", "id").selectExpr("case when k < 20 then 7 else k end as doc_id", "concat('zork text number ', id) as text")
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(40)], "doc_id long, quality int, toxic int")
+    for run in (toxicity.scored, quality.scored):
+        assert run(spark, docs, labels).count() == 20_000
