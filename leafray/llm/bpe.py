@@ -30,11 +30,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 #: Fragments kept in a worker's memo before it starts anew; bounds its memory.
-MEMO = 400_000
+MEMO = 100_000
 #: Longest fragment (bytes) that is kept in the memo.
 MEMO_BYTES = 64
 #: White space beyond ASCII, as UTF-8, that the pre-tokenizer's pattern knows.
-WIDE_SPACE = re.compile("[\u0085   -     　]")
+WIDE_SPACE = re.compile("[\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
 def byte_of_char() -> dict[str, int]:

@@ -48,7 +48,7 @@ def brute(rows, threshold):
 @pytest.mark.parametrize("shard", [10_000, 40])
 def test_against_all_pairs(spark, monkeypatch, shard):
     monkeypatch.setattr(hnsw, "SHARD", shard)
-    monkeypatch.setattr(hnsw, "QUERIES", 3 * shard)
+    monkeypatch.setattr(hnsw, "LEAST_QUERIES", 25)
     rows = data(shard)
     table = spark.createDataFrame([(l, v, d, 5) for d, v, l in rows], "label int, embedding array<float>, vec_id long, node int")
     got = hnsw.near_vectors(spark, table).collect()
@@ -59,8 +59,10 @@ def test_recall_of_larger_graph():
     r = np.random.default_rng(1)
     base = r.normal(size=(150, 64))
     x = np.concatenate([base + r.normal(size=base.shape) * s for s in (0, 0.05, 0.1, 0.12, 0.14, 0.2)] + [base[:1] + r.normal(size=(400, 64)) * 0.09])
-    found, recall, _ = hnsw.search_group(x, x, 0.98)
     u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    graph = hnsw.Graph.load(u, hnsw.Graph(u).dump())
+    found, (met, wanted) = hnsw.search_group(graph, u, u, 0.98)
+    recall = met / wanted
     truth = u @ u.T >= 0.98
     met = sum(len(set(f.tolist()) & set(np.flatnonzero(t).tolist())) for f, t in zip(found, truth, strict=True))
     assert recall >= hnsw.AUDIT_RECALL and met / truth.sum() > 0.99
@@ -69,3 +71,26 @@ def test_recall_of_larger_graph():
 
 def test_empty(spark):
     assert hnsw.near_vectors(spark, spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
+
+
+def test_links_count_at_both_ends(spark):
+    r = np.random.default_rng(5)
+    x = np.repeat(r.normal(size=(30, 16)), 6, axis=0) + r.normal(size=(180, 16)) * 0.04
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    table = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    got = hnsw.near_vectors(spark, table).orderBy("vec_id").collect()
+    assert [g.n_links for g in got] == [int(t.sum()) - 1 for t in x @ x.T >= 0.98]
+
+
+def test_prints_are_the_same_from_both_ends():
+    ids = np.arange(50) * 7919
+    table = np.stack([hnsw._prints(int(a), ids) for a in ids])
+    assert (table == table.T).all() and len(np.unique(table)) == 50 * 51 // 2
+
+
+def test_extreme_sizes(spark):
+    v = [0.3, -0.2, 0.5]
+    rows = [(1, v), (2, [x * 1e200 for x in v]), (3, [x * 1e-200 for x in v]), (4, [5e-324, 0.0, 0.0]), (5, [1.7e308, 0.0, 0.0])]
+    table = spark.createDataFrame([(i, x, 1) for i, x in rows], "vec_id long, embedding array<double>, label int")
+    got = {x.vec_id: (x.n_links, x.component_id, x.recall) for x in hnsw.near_vectors(spark, table).collect()}
+    assert got == {1: (2, 1, 1.0), 2: (2, 1, 1.0), 3: (2, 1, 1.0), 4: (1, 4, 1.0), 5: (1, 4, 1.0)}
