@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -18,11 +19,13 @@ HOT_KEYS = 1000
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder below ``spark.checkpoint.dir``, which driver and executors share.
 
-    Where that setting is absent (local runs and tests) a temporary folder of
-    this machine is set as the checkpoint folder first.
+    Where that setting is absent, a local run (tests) sets a temporary folder of
+    this machine as its checkpoint folder; on a cluster that is an error.
     """
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="leafray-")
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/leafray-{name}-{uuid.uuid4().hex[:12]}"

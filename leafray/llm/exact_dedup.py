@@ -25,7 +25,7 @@ STREAM_CONF = {
     # many small stores would otherwise each reserve megabytes of disk ahead
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "96",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
@@ -40,7 +40,7 @@ def sha256(text: Column) -> Column:
 
 
 def entries(docs: DataFrame, digest: Callable[[Column], Column] = sha256) -> DataFrame:
-    """What the stream consumes: digest and entry (identifier, nulls last, then locator) per row."""
+    """What the stream consumes: digest and entry (identifier, nulls last, then locator) per row, and a print of the text as it is."""
     return docs.select(
         digest(normalised("text")).alias("digest"),
         F.struct(
@@ -49,6 +49,7 @@ def entries(docs: DataFrame, digest: Callable[[Column], Column] = sha256) -> Dat
             F.monotonically_increasing_id().alias("row"),
             F.input_file_name().alias("file"),
         ).alias("entry"),
+        F.xxhash64("text").alias("print"),
     )
 
 
@@ -86,15 +87,17 @@ def stream_state(spark: SparkSession, source: str, schema, root: str, files_per_
 def _byte_check(docs: DataFrame, found: DataFrame, total: int, digest) -> DataFrame:
     """Digests whose hits don't all have the same full text.
 
-    Texts move once, by doc_id, to the rows whose digest was met more than
-    once; only those are normalised again and gathered by digest. The smallest
-    and the largest text of a group are equal if and only if all are; a hot
-    group is dealt over salts first.
+    Texts move once, by doc_id and print (rows without an id would all meet each
+    other by id alone), to the rows whose digest was met more than once; only
+    those are normalised again and gathered by digest. The smallest and the
+    largest text of a group are equal if and only if all are; a hot group is
+    dealt over salts first.
     """
     share = max(1, total // HOT_KEYS)
-    hits = found.where("n > 1").select(F.col("doc_id").alias("hit_id"), F.col("digest").alias("hit"), F.ceil(F.col("n") / share).alias("salts")).distinct()
-    texts = docs.select("doc_id", "text").join(hits.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("hit_id")))
-    texts = texts.select(normalised("text").alias("norm"), "hit", F.pmod(F.xxhash64("doc_id"), "salts").alias("salt"))
+    hits = found.where("n > 1").select(F.col("doc_id").alias("hit_id"), "print", F.col("digest").alias("hit"), F.ceil(F.col("n") / share).alias("salts")).distinct()
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("own_print"))
+    texts = texts.join(hits, (F.col("own_print") == F.col("print")) & F.col("doc_id").eqNullSafe(F.col("hit_id")))
+    texts = texts.select(normalised("text").alias("norm"), "hit", F.pmod(F.xxhash64("doc_id", "own_print"), "salts").alias("salt"))
     own = texts.where(digest(F.col("norm")) == F.col("hit"))
     parts = own.groupBy("hit", "salt").agg(F.min("norm").alias("lo"), F.max("norm").alias("hi"))
     whole = parts.groupBy("hit").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
@@ -114,7 +117,7 @@ def copies(spark: SparkSession, docs: DataFrame, digest: Callable[[Column], Colu
     rows = materialize(entries(docs, digest), f"{root}/rows")
     state = materialize(stream_state(spark, f"{root}/rows", rows.schema, root, files_per_batch), f"{root}/kept")
     total = rows.count()
-    flat = rows.select("digest", F.col("entry.doc_id").alias("doc_id"), F.col("entry.row").alias("row"))
+    flat = rows.select("digest", "print", F.col("entry.doc_id").alias("doc_id"), F.col("entry.row").alias("row"))
     kept = state.select("digest", "n", F.col("keep.doc_id").alias("keep_id"), F.col("keep.row").alias("keep_row"))
     found = materialize(join_counted(flat, kept, "digest", "n", total), f"{root}/found")
     broken = materialize(_byte_check(docs, found, total, digest), f"{root}/broken")

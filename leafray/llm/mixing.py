@@ -46,7 +46,9 @@ def dealt(nodes: DataFrame, parent: list[str], name: str) -> DataFrame:
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     n = nodes.select("*", F.col("supply").cast(WIDE).alias("s_"), F.col("weight").cast("decimal(9,0)").alias("w_"))
     n = n.withColumn("left_", F.col("budget").cast(WIDE) - F.coalesce(F.sum("s_").over(before), F.lit(0).cast(WIDE)))
-    n = n.withColumn("rest_", F.sum("w_").over(order.rowsBetween(0, Window.unboundedFollowing)).cast("decimal(18,0)"))
+    # all weights less those before, since a frame to the end would be summed anew for each row
+    rest = F.sum("w_").over(Window.partitionBy(*parent)) - F.coalesce(F.sum("w_").over(before), F.lit(0).cast("decimal(9,0)"))
+    n = n.withColumn("rest_", rest.cast("decimal(18,0)"))
     n = n.withColumn("full_", F.col("supply").cast("decimal(27,0)") * F.col("rest_").cast("decimal(10,0)") <= F.col("left_").cast("decimal(27,0)") * F.col("w_"))
     # the first child that isn't full sets the rate for all after it
     edge = Window.partitionBy(*parent)

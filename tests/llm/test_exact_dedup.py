@@ -56,3 +56,11 @@ def test_drop_keeps_one_of_each_and_all_columns(spark):
 def test_empty(spark):
     assert exact_dedup.copies(spark, table(spark, [])).count() == 0
     assert exact_dedup.drop_copies(spark, table(spark, [])).count() == 0
+
+
+def test_many_null_and_repeated_ids(spark):
+    """Rows that share an id, or have none, don't all meet each other."""
+    docs = spark.range(40_000).selectExpr("case when id % 2 = 0 then 7 end as doc_id", "concat('text ', id div 4) as text")
+    got = exact_dedup.copies(spark, docs)
+    assert got.where("group_size = 4").count() == 40_000
+    assert exact_dedup.drop_copies(spark, docs).count() == 10_000

@@ -89,3 +89,10 @@ def test_estimate_corrects_for_chance(spark):
         bits = [minhash.packed(minhash.minima(words.mixed(x))[None])[0].tolist() for x in (both, other)]
         row = spark.createDataFrame([tuple(bits)], "a array<long>, b array<long>").select(minhash.estimate(F.col("a"), F.col("b"))).first()
         assert abs(row[0] - 100 * share) < 18
+
+
+def test_many_null_and_repeated_ids(spark):
+    """Rows that share an id, or have none, don't all meet each other."""
+    text = "concat_ws(' ', transform(sequence(1, 12), x -> concat('w', hash(id div 2, x))), if(id % 2 = 0, 'a', 'b'))"
+    docs = spark.range(20_000).selectExpr("case when id % 4 < 2 then 7 end as doc_id", f"{text} as text")
+    assert minhash.near_copies(spark, docs).groupBy("component").count().where("count = 2").count() == 10_000
