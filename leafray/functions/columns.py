@@ -41,6 +41,11 @@ def time_bin(ts: Column, freq: str) -> Column:
     return F.timestamp_micros((F.floor(micros(ts) / width) * width).cast("long")).cast("timestamp_ntz")
 
 
+def without_keys(attrs: Column, drop: list[str]) -> Column:
+    """A map of attributes without the named keys and without missing values."""
+    return F.map_filter(attrs, lambda k, v: ~k.isin(drop) & v.isNotNull())
+
+
 def hour_of_day(ts: Column) -> Column:
     return F.hour(ts) + F.minute(ts) / 60.0
 

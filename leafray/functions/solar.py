@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leafray.functions.columns import micros
@@ -13,8 +13,10 @@ from leafray.functions.columns import micros
 def position(ts: Column, lat: float, lon: float) -> dict[str, Column]:
     """Zenith, azimuth and elevation of the sun in degrees at a site.
 
-    The azimuth is mirrored only where the hour angle, counted from 0 to 360
-    degrees, is exactly 0.
+    The azimuth is the angle from north without its side, 0 to 180, as it
+    follows from the sides of the triangle between pole, zenith and sun; where
+    the hour angle is exactly 0 it is counted down from 360. In the zenith it is
+    null.
     """
     rad, deg, sin, cos = F.radians, F.degrees, F.sin, F.cos
     whole = (F.floor(micros(ts) / 1_000_000) * 1.0).cast("double")
@@ -33,13 +35,21 @@ def position(ts: Column, lat: float, lon: float) -> dict[str, Column]:
     time = 4 * deg(y * sin(two_l) - 2 * ecc * sin(m) + 4 * ecc * y * sin(m) * cos(two_l) - 0.5 * y * y * sin(2 * two_l) - 1.25 * ecc * ecc * sin(2 * m))
     minutes = F.pmod(whole, F.lit(86400.0)) / 60.0
     solar = F.pmod(minutes + time + 4 * lon, F.lit(1440.0))
-    hour = F.pmod(solar / 4 - 180 + 360, F.lit(360.0))
+    angle = rad(F.pmod(solar / 4 + 180, F.lit(360.0)))
     sl, cl = math.sin(math.radians(lat)), math.cos(math.radians(lat))
-    clip = lambda c: F.greatest(F.lit(-1.0), F.least(F.lit(1.0), c))
-    zenith = deg(F.acos(clip(sl * sin(decl) + cl * cos(decl) * cos(rad(hour)))))
-    below = cl * sin(rad(zenith))
-    azimuth = deg(F.acos(clip((sl * cos(rad(zenith)) - sin(decl)) / F.when(below != 0, below))))
-    return {"zenith": zenith, "azimuth": F.when(hour > 0, azimuth).otherwise(360 - azimuth), "elevation": 90 - zenith}
+    height = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), sl * sin(decl) + cl * cos(decl) * cos(angle)))
+    across, along = cl * cos(decl) * F.abs(sin(angle)), sl * height - sin(decl)
+    side = F.when((across != 0) | (along != 0), deg(F.atan2(across, along)))
+    return {"zenith": deg(F.acos(height)), "azimuth": F.when(angle == 0, 360 - side).otherwise(side), "elevation": 90 - deg(F.acos(height))}
+
+
+def sunrise_sunset(days: DataFrame, lat: float, lon: float, day: str = "day") -> DataFrame:
+    """Per distinct day the first and last minute with the sun above the horizon; null where it doesn't rise."""
+    start = F.col(day).cast("timestamp_ntz")
+    minute = F.explode(F.sequence(start, start + F.expr("interval 23 hour 59 minute"), F.expr("interval 1 minute")))
+    up = days.select(day).distinct().withColumn("t_", minute).withColumn("up_", position(F.col("t_"), lat, lon)["elevation"] > 0)
+    seen = F.when(F.col("up_"), F.col("t_"))
+    return up.groupBy(day).agg(F.min(seen).alias("sunrise"), F.max(seen).alias("sunset"))
 
 
 def normalised(value: Column, zenith: Column, reference: float = 45.0) -> Column:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from leafray.functions import solar
 from leafray.functions.columns import micros, ratio, seconds_of, time_bin
 
 STATS = {"mean": F.avg, "median": F.median, "std": F.stddev_samp, "count": F.count}
@@ -146,6 +147,29 @@ def weighted_timeseries(df: DataFrame, freq: str = "1D", weights: DataFrame | No
     return out.where((F.col("n_cells") >= min_cells) & (F.col("total_weight") > 0))
 
 
+def solar_corrected_timeseries(df: DataFrame, lat: float, lon: float, freq: str = "1D", weights: DataFrame | None = None, cells: int = 1, min_cells: int = 1, value: str = "vod", correction: str = "normalize", daytime: bool = True) -> DataFrame:
+    """``weighted_timeseries`` of values corrected for the sun's height ("normalize" or "cosine"), of daytime only if asked."""
+    if correction not in ("normalize", "cosine"):
+        raise ValueError(f"unknown correction {correction!r}")
+    sun = solar.position(F.col("epoch"), lat, lon)
+    known = df.withColumn("zenith_", sun["zenith"])
+    if daytime:
+        known = known.where(solar.is_daytime(90 - F.col("zenith_")))
+    use = solar.normalised if correction == "normalize" else solar.cosine_corrected
+    return weighted_timeseries(known.withColumn(value, use(F.col(value), F.col("zenith_"))), freq, weights, cells, min_cells, value)
+
+
+def hemisphere_percell(df: DataFrame, value: str = "vod") -> DataFrame:
+    """Daily series of every cell."""
+    return percell_timeseries(df, "1D", value)
+
+
+def zenith_percell(df: DataFrame, grid: DataFrame, value: str = "vod") -> DataFrame:
+    """Daily series of the cells whose centre lies within 30 degrees of the zenith."""
+    near = grid.where(F.round(F.degrees("theta"), 9) <= 30).select("cell_id")
+    return percell_timeseries(df.join(near, "cell_id", "left_semi"), "1D", value)
+
+
 def _cycle(df: DataFrame, at: Column, bins: DataFrame, weights, cells, min_obs: int, value: str) -> DataFrame:
     known = with_weights(df.where(F.col("cell_id").isNotNull() & F.col(value).isNotNull()), weights, cells)
     mean, std = _weighted(F.col(value), F.col("w"))
