@@ -29,10 +29,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from leafray.llm import words
+
 #: Fragments kept in a worker's memo before it starts anew; bounds its memory.
 MEMO = 100_000
 #: Longest fragment (bytes) that is kept in the memo.
 MEMO_BYTES = 64
+#: Rows that are decoded at once.
+DECODED = 256
 #: White space beyond ASCII, as UTF-8, that the pre-tokenizer's pattern knows.
 WIDE_SPACE = re.compile("[\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
@@ -141,7 +145,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = splitter(path)
-        for batch in batches:
+        for batch in words.pieces(batches, text):
             found = [s.encode(t or "").astype(np.int32) for t in batch.column(text).to_pylist()]
             offsets = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
             values = np.concatenate(found) if found else np.empty(0, np.int32)
@@ -160,9 +164,12 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", text: str = "decoded
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = splitter(path)
-        for batch in batches:
-            out = [s.decode(np.asarray(x.values, np.int64) if x.is_valid else np.empty(0, np.int64)) for x in batch.column(ids)]
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(out, pa.string())], names=[*keep, text])
+        for whole in batches:
+            for at in range(0, whole.num_rows, DECODED):
+                batch = whole.slice(at, DECODED)
+                out = [s.decode(np.asarray(x.values, np.int64) if x.is_valid else np.empty(0, np.int64)) for x in batch.column(ids)]
+                yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(out, pa.string())], names=[*keep, text])
+            words.release()
 
     return encoded.select(*[f"`{c}`" for c in keep]).mapInArrow(run, schema)
 
@@ -176,7 +183,7 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = splitter(path)
-        for batch in batches:
+        for batch in words.pieces(batches, "text"):
             n, ids_sha, text_sha = [], [], []
             for t in batch.column(1).to_pylist():
                 ids = s.encode(t or "")

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from leafray.llm import words
 from leafray.llm.common import materialize, shared_dir
 
 #: Characters of a chunk's own part; longer documents are cut.
@@ -75,7 +76,7 @@ def boundaries(encoding) -> tuple[list[int], list[int]]:
 def _whole(docs: DataFrame, path: str, chunk: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = library(path)
-        for batch in batches:
+        for batch in words.pieces(batches, "text"):
             texts = batch.column(1).to_pylist()
             n = []
             for i in range(0, len(texts), 256):

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafray.llm import labelled
+from leafray.llm import words as words_
 
 #: Labelled rows that are fitted on, at most.
 SAMPLE = 20_000
@@ -33,6 +34,8 @@ PRIOR, FLOOR, LEAST, Z, EFFECT, DRIFT = 500.0, 0.5, 4, 3.0, 1.5, 0.05
 PREFIXES = (8, 7, 6, 5, 4)
 #: Tokens whose weight a worker remembers before it starts anew.
 MEMO = 50_000
+#: Bytes of text whose tokens are counted before they are sent on.
+COUNTED = 1 << 23
 #: A passage is significant if chance gives fewer than this many in a text.
 SIGNIFICANT = 0.05
 
@@ -123,7 +126,7 @@ def _counts(train: DataFrame) -> DataFrame:
     """Of (text, label, half), per half and token or prefix: the toxic and clean texts that hold it, its occurrences in clean ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in words_.pieces(batches, "text", COUNTED):
             seen = [(Counter(), Counter(), Counter()) for _ in range(2)]
             for text, label, half in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
                 words = tokens(text)
@@ -192,7 +195,7 @@ def fit(docs: DataFrame, sample: DataFrame) -> Model:
 
     def rate(of: list[Model]):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in words_.pieces(batches, "text"):
                 found = []
                 for text, label, half in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
                     words = tokens(text)
@@ -244,7 +247,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64()), ("passages", pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64()), ("score", pa.float64()), ("e", pa.float64())])))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in words_.pieces(batches, "text"):
             out = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 words = tokens(text)
@@ -273,10 +276,8 @@ def scored(spark: SparkSession, docs: DataFrame, labels: DataFrame, folds: int =
 def drop_toxic(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0) -> DataFrame:
     """``docs`` without the texts that score 0.5 or more; rows are judged in place, all columns as they are."""
     model = fit(docs, labelled.sample(labels, "toxic", labelled.fold("doc_id", folds) != held, SAMPLE))
-    at = docs.columns.index("text")
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array([model.score(t) < 0.5 for t in batch.column(at).to_pylist()], pa.bool_()))
+        for batch in words_.pieces(batches, "text"):
+            yield batch.filter(pa.array([model.score(t) < 0.5 for t in batch.column("text").to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

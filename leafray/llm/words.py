@@ -6,6 +6,7 @@ a worker needs a few arrays the size of one piece of a batch.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -14,7 +15,7 @@ import pyarrow.compute as pc
 import xxhash
 
 #: Bytes of text that are worked on at once, about; a longer text makes a piece of its own.
-PIECE = 1 << 22
+PIECE = 1 << 20
 #: Bytes of a word beyond which it is hashed by itself.
 LONG = 256
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -28,8 +29,15 @@ LOWER = PLAIN.copy()
 LOWER[65:91] += 32
 
 
+def release() -> None:
+    """Give freed memory back: idle workers stay beside those of the next stage, and what they hold counts for the executor."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def pieces(batches: Iterable[pa.RecordBatch], column: str, most: int = PIECE) -> Iterator[pa.RecordBatch]:
-    """The rows of ``batches`` in slices with about ``most`` bytes of text at most."""
+    """The rows of ``batches`` in slices with about ``most`` bytes of text at most; memory is released after each batch."""
     for batch in batches:
         ends = np.cumsum(pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
         at = 0
@@ -37,6 +45,8 @@ def pieces(batches: Iterable[pa.RecordBatch], column: str, most: int = PIECE) ->
             to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, "right")))
             yield batch.slice(at, to - at)
             at = to
+        del batch
+        release()
 
 
 class Words:
