@@ -97,6 +97,22 @@ def signed_bits(value: Column, bits: int) -> Column:
     return F.when(v >= 1 << (bits - 1), v - (1 << bits)).otherwise(v)
 
 
+def signal_number(type_byte: Column, obs_info: Column) -> Column:
+    """The low five bits of the type; 31 there means that the number is in the observation info, from 32 on."""
+    low = type_byte.bitwiseAND(31)
+    return F.when(low == 31, F.shiftright(obs_info, 3).bitwiseAND(31) + 32).otherwise(low)
+
+
+def second_pseudorange(first: Column, offset_msb: Column, code_low: Column) -> Column:
+    """Metres of a signal given as an offset from its satellite's first one; the three low bits of ``offset_msb`` are the high part."""
+    return first + (signed_bits(offset_msb, 3) * 65536.0 + code_low) * 0.001
+
+
+def second_doppler(first: Column, offset_msb: Column, low: Column, ratio: Column) -> Column:
+    """Hertz of a signal given as an offset from the first one's, scaled by the ``ratio`` of frequencies; five high bits."""
+    return first * ratio + (signed_bits(F.shiftright(offset_msb, 3), 5) * 65536.0 + low) * 1e-4
+
+
 def glonass_frequency(band: Column, slot: Column) -> Column:
     """MHz of an FDMA slot numbered from 1 (slot 8 is channel 0)."""
     return F.when(band == "G1", 1602.0 + (slot - 8) * 9 / 16).when(band == "G2", 1246.0 + (slot - 8) * 7 / 16)

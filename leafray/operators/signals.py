@@ -40,14 +40,15 @@ SATELLITES = {"G": 32, "E": 36, "R": 24, "C": 63, "J": 10, "S": 36, "I": 14}
 NUMBER_RANGES = [
     (1, 37, "G", 0),
     (38, 61, "R", 37),
+    (62, 62, "R", 62),
     (63, 68, "R", 38),
     (71, 106, "E", 70),
-    (107, 119, "L", 106),
-    (120, 140, "S", 100),
+    (107, 119, "L", 0),
+    (120, 140, "S", 0),
     (141, 180, "C", 140),
-    (181, 190, "J", 180),
+    (181, 187, "J", 180),
     (191, 197, "I", 190),
-    (198, 215, "S", 157),
+    (198, 215, "S", 57),
     (216, 222, "I", 208),
     (223, 245, "C", 182),
 ]
