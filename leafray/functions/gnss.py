@@ -57,7 +57,7 @@ def hour_of_letter(letter: Column) -> Column:
 
 def tow_to_time(week: Column, tow_ms: Column, leap_seconds: Column) -> Column:
     """UTC of a GPS week and time of week."""
-    seconds = F.lit(315_964_800) + week * 604_800 - leap_seconds
+    seconds = F.lit(315_964_800) + week.cast("long") * 604_800 - leap_seconds
     return F.timestamp_micros((seconds * 1_000_000 + tow_ms * 1000).cast("long")).cast("timestamp_ntz")
 
 
