@@ -48,3 +48,19 @@ def test_nearest_asof_is_linear(spark):
     took(1000)
     small, large = took(10_000), took(80_000)
     assert large < 10 * max(small, 1.0)
+
+
+def test_sliding_median_deviation():
+    from leafray.operators import robust
+
+    r = random.Random(4)
+    for _ in range(300):
+        n = r.randint(1, 40)
+        times = sorted(r.randint(0, 60) for _ in range(n))
+        values = [r.choice([None, 0.0, 1.0, r.random(), r.random() * 30]) for _ in range(n)]
+        reach, want = r.randint(0, 20), []
+        for t, v in zip(times, values, strict=True):
+            frame = np.array([x for s, x in zip(times, values, strict=True) if x is not None and abs(s - t) <= reach])
+            mad = np.median(np.abs(frame - np.median(frame))) if len(frame) else 0
+            want.append(bool(v is not None and len(frame) >= 5 and mad > 0 and abs(v - np.median(frame)) > 2 * robust.SCALE * mad))
+        assert robust._sliding(times, values, reach, 2.0, 5) == want
