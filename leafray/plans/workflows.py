@@ -7,8 +7,8 @@ import math
 from pyspark.sql import functions as F
 
 from leafray.functions import columns as C
-from leafray.functions import names, solar
-from leafray.operators import aggregate, audit, ephemeris, epochs, masks, weights
+from leafray.functions import geometry, gnss, names, solar
+from leafray.operators import aggregate, audit, ephemeris, epochs, filters, grids, interpolate, joins, masks, percell, signals, weights
 from leafray.plans import adapters as A
 from leafray.plans import registry as R
 from leafray.plans.registry import query, r, rounded
@@ -176,3 +176,132 @@ def _(spark, sf):
     store = lambda n: A.receiver(spark, sf, n).withColumn("system", F.substring("sid", 1, 1))
     out = audit.run(store(A.CANOPY), store(A.SKY), ["snr"], "system", tier="scientific")
     return rounded(out.select("system", "variable", "n_compared", "max_abs", "mae", "p90", "atol", "passed"))
+
+
+@query("except_signal_epochs", "SELECT label FROM (SELECT epoch::VARCHAR || ' ' || sid AS label, receiver FROM o) WHERE receiver = 'canopy_01' EXCEPT SELECT epoch::VARCHAR || ' ' || sid FROM o WHERE receiver = 'reference_01'", R.BASE)
+def _(spark, sf):
+    label = lambda n: A.receiver(spark, sf, n).select(F.concat_ws(" ", F.col("epoch").cast("string"), "sid").alias("label"))
+    return joins.dropped_labels(label(A.CANOPY), label(A.SKY), "label")
+
+
+@query("temporal_aggregate_adaptive_day", f"SELECT receiver, sid, time_bucket(INTERVAL '1 day', epoch) AS epoch, {', '.join(r(f'avg({c})', c, 9) for c in ('snr', 'phi', 'theta'))} FROM o GROUP BY ALL", R.BASE)
+def _(spark, sf):
+    """Epochs lie closer than a day, so here the aggregation does run."""
+    return rounded(aggregate.temporal_aggregate(A.observations(spark, sf), "1D"), 9)
+
+
+_OF_SYSTEM = "(SELECT time, sum(value * count) / sum(count) AS m FROM (SELECT cell_id, time_bucket(INTERVAL '6 hours', epoch) AS time, avg(vod) AS value, count(vod) AS count FROM vg WHERE vod IS NOT NULL AND sid LIKE '{}%' GROUP BY ALL) GROUP BY time)"
+
+
+@query("averaged_diurnal_systems", f"""SELECT slot, {r('avg(mean)', 'mean')}, round(sqrt(sum(std * std)) / count(*), 5) + 0.0 AS std, sum(n)::BIGINT AS n FROM (
+    SELECT hour(time)::INTEGER AS slot, avg(m) AS mean, stddev_pop(m) AS std, count(m) AS n FROM {_OF_SYSTEM.format('G')} GROUP BY 1 UNION ALL
+    SELECT hour(time)::INTEGER AS slot, avg(m) AS mean, stddev_pop(m) AS std, count(m) AS n FROM {_OF_SYSTEM.format('E')} GROUP BY 1) GROUP BY slot HAVING count(*) = 2""", R.GRID)
+def _(spark, sf):
+    """The day's course of two different series, at the hours that both have."""
+    v = A.gridded(spark, sf)
+    out = percell.averaged_diurnal([aggregate.percell_timeseries(v.where(F.col("sid").startswith(s)), "6h") for s in ("G", "E")])
+    return rounded(out).withColumn("std", F.round("std", 5) + 0.0)
+
+
+_VELOCITIES = R._ORBIT + f", va AS (SELECT ob.*, {_SPEEDS} FROM ob JOIN (SELECT sv, median(g) AS st FROM (SELECT sv, t - lag(t) OVER (PARTITION BY sv ORDER BY t) AS g FROM ob) GROUP BY 1) USING (sv) WINDOW w AS (PARTITION BY sv ORDER BY t))"
+
+
+@query("sp3_velocity_axes", f"SELECT sv, t, {r('vx', digits=3)}, {r('vy', digits=3)}, {r('vz', digits=3)} FROM va", _VELOCITIES)
+def _(spark, sf):
+    v = interpolate.velocities(R._orbits(spark, sf))
+    return v.select("sv", (C.micros(F.col("epoch")) / 1e6).alias("t"), *[(F.round(c, 3) + 0.0).alias(c) for c in ("vx", "vy", "vz")])
+
+
+@query("sbf_ranges", """SELECT event_id, round(CASE WHEN m <> 0 OR lo <> 0 THEN (m * 4294967296.0 + lo) * 0.001 END, 3) + 0.0 AS pseudorange, round((user_id - 75) * 1000 * 1e-4, 4) + 0.0 AS doppler,
+    round(CASE WHEN m <> 0 OR lo <> 0 THEN (m * 4294967296.0 + lo) * 0.001 / (299792458.0 / 1575420000.0) + ((user_id % 100 - 50) * 65536.0 + event_id % 1000) * 0.001 END, 3) + 0.0 AS phase,
+    round(CASE WHEN m <> 0 OR lo <> 0 THEN (m * 4294967296.0 + lo) * 0.001 + (CASE WHEN user_id % 8 >= 4 THEN user_id % 8 - 8 ELSE user_id % 8 END * 65536.0 + event_id % 1000) * 0.001 END, 3) + 0.0 AS second_range,
+    round((user_id - 75) * 1000 * 1e-4 * 0.75 + (CASE WHEN (user_id // 8) % 32 >= 16 THEN (user_id // 8) % 32 - 32 ELSE (user_id // 8) % 32 END * 65536.0 + event_id % 1000) * 1e-4, 4) + 0.0 AS second_doppler,
+    CASE WHEN user_id % 32 = 31 THEN (event_id // 8) % 32 + 32 ELSE user_id % 32 END AS signal, TIMESTAMP '1980-01-06' + to_days(7 * (2000 + user_id)::INTEGER) + to_milliseconds(event_id) - INTERVAL '18 seconds' AS utc FROM (SELECT *, user_id % 16 AS m, event_id * 7 AS lo FROM events)""")
+def _(spark, sf):
+    e = A.table(spark, sf, "events")
+    u, n = F.col("user_id"), F.col("event_id")
+    first, speed = gnss.pseudorange(u, n * 7), gnss.doppler((u - 75) * 1000)
+    columns = {
+        "pseudorange": F.round(first, 3) + 0.0,
+        "doppler": F.round(speed, 4) + 0.0,
+        "phase": F.round(gnss.carrier_phase(first, u % 100 - 50, n % 1000, F.lit(1_575_420_000.0)), 3) + 0.0,
+        "second_range": F.round(gnss.second_pseudorange(first, u, n % 1000), 3) + 0.0,
+        "second_doppler": F.round(gnss.second_doppler(speed, u, n % 1000, F.lit(0.75)), 4) + 0.0,
+        "signal": gnss.signal_number(u, n),
+        "utc": gnss.tow_to_time(2000 + u, n, F.lit(18)),
+    }
+    return e.select("event_id", *[c.alias(k) for k, c in columns.items()])
+
+
+@query("percell_pipeline_combined", """SELECT l_orderkey, l_linenumber, v BETWEEN 5000 AND 60000 AND (n < 5 OR NOT s > 0 OR abs(v - a) <= 1.2 * s) AS kept FROM t JOIN (SELECT cell_id, count(*) AS n, avg(v) AS a, stddev_pop(v) AS s
+    FROM t GROUP BY 1) USING (cell_id)""", f"t AS ({R._L})")
+def _(spark, sf):
+    return filters.pipeline(R._lines(spark, sf), R._CHAIN, "v", by=["cell_id"], mode="combined").select("l_orderkey", "l_linenumber", F.col("mask_pipeline").alias("kept"))
+
+
+@query("ecef_positions", f"""SELECT event_id, round((n + h) * cos(p) * cos(l), 3) + 0.0 AS x, round((n + h) * cos(p) * sin(l), 3) + 0.0 AS y, round((n * (1 - {geometry.E2!r}) + h) * sin(p), 3) + 0.0 AS z FROM
+    (SELECT *, {geometry.A!r} / sqrt(1 - {geometry.E2!r} * sin(p) * sin(p)) AS n FROM (SELECT event_id, radians(user_id - 75.0) AS p, radians(event_id % 360 - 180.0) AS l, value AS h FROM events))""")
+def _(spark, sf):
+    at = geometry.ecef_columns(F.col("user_id") - 75.0, F.col("event_id") % 360 - 180.0, F.col("value"))
+    return A.table(spark, sf, "events").select("event_id", *[(F.round(c, 3) + 0.0).alias(n) for n, c in at.items()])
+
+
+@query("read_deduplicated", """WITH l AS (SELECT DISTINCT ts::DATE AS d FROM events WHERE event_type = 'purchase' AND value > 100), i AS (SELECT d::TIMESTAMP AS a, d::TIMESTAMP + INTERVAL '12 hours' AS b FROM l)
+    SELECT epoch, sid, arg_max(value, event_id) AS snr FROM (SELECT time_bucket(INTERVAL '1 hour', ts) AS epoch, event_type AS sid, value, event_id FROM events) JOIN i ON epoch BETWEEN a AND b GROUP BY ALL""")
+def _(spark, sf):
+    e = A.table(spark, sf, "events")
+    day = F.to_date("ts").cast("timestamp_ntz")
+    ledger = e.where("event_type = 'purchase' and value > 100").select(day.alias("start"), (day + F.expr("interval 12 hours")).alias("end"), F.col("ts").alias("written_at"))
+    obs = e.select(F.lit("r").alias("receiver"), C.time_bin(F.col("ts"), "1h").alias("epoch"), F.col("event_type").alias("sid"), F.col("value").alias("snr"), F.col("event_id").alias("ingest_seq"))
+    return joins.read_deduplicated(obs, ledger).select("epoch", "sid", "snr")
+
+
+@query("product_coverage", "SELECT user_id, round(100.0 * count(*) FILTER (value > 50) / count(*), 6) + 0.0 AS coverage, 100.0 * count(*) FILTER (value > 50) / count(*) >= 80 AS enough FROM events GROUP BY 1")
+def _(spark, sf):
+    e = A.table(spark, sf, "events").select("user_id", F.when(F.col("value") > 50, F.col("value")).alias("clock"))
+    return rounded(interpolate.coverage(e, "clock", "user_id"))
+
+
+@query("prefer_bands", "SELECT sid, count(*) AS n FROM o WHERE sid NOT LIKE '%|L1|%' GROUP BY 1", R.BASE)
+def _(spark, sf):
+    """Of the group that L1 and E1 share, E1 only."""
+    groups = signals.overlap_groups(spark)
+    shared = groups.where("band = 'E1'").first()["overlap_group"]
+    return signals.prefer_bands(A.observations(spark, sf), groups, {shared: "E1"}).groupBy("sid").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("percell_fingerprint", "SELECT event_id, md5(event_id::VARCHAR || '|' || coalesce(user_id::VARCHAR, '') || '|' || event_type) AS print FROM events")
+def _(spark, sf):
+    e = A.table(spark, sf, "events")
+    return e.select("event_id", percell.fingerprint(e, "event_id", "user_id", "event_type").alias("print"))
+
+
+@query("frequencies", "SELECT DISTINCT sid, CASE split_part(sid, '|', 2) WHEN 'G1' THEN 1602.0 ELSE 1575.42 END AS freq_center FROM o", R.BASE)
+def _(spark, sf):
+    known = A.observations(spark, sf).select("sid").distinct()
+    bands = signals.bands(spark).select("system", "band", "freq_center")
+    parts = known.select("sid", F.substring("sid", 1, 1).alias("system"), F.split("sid", r"\|").getItem(1).alias("band"))
+    return parts.join(F.broadcast(bands), ["system", "band"]).select("sid", "freq_center")
+
+
+# --- other grids --------------------------------------------------------------------
+
+_NEAR = """dir AS (SELECT DISTINCT phi, theta FROM vod),
+near AS (SELECT phi, theta, cell_id FROM (SELECT d.phi, d.theta, g.cell_id, row_number() OVER (PARTITION BY d.phi, d.theta ORDER BY
+    round(pow(sin(d.theta) * cos(d.phi) - sin(g.theta) * cos(g.phi), 2) + pow(sin(d.theta) * sin(d.phi) - sin(g.theta) * sin(g.phi), 2) + pow(cos(d.theta) - cos(g.theta), 2), 12), g.cell_id) AS k FROM dir d CROSS JOIN grid g) WHERE k = 1),
+vg AS (SELECT v.*, n.cell_id FROM vod v JOIN near n USING (phi, theta))"""
+_GRIDS = {
+    "equal_angle": ({"degrees": 10.0}, """SELECT 0::BIGINT AS cell_id, 0.0::DOUBLE AS phi, 0.0::DOUBLE AS theta UNION ALL
+        SELECT (1 + i * 36 + j)::BIGINT, (j + 0.5) * 2 * pi() / 36, radians(10) + i * radians(10) FROM range(8) a(i), range(36) b(j)"""),
+    "equirectangular": ({"degrees": 10.0}, "SELECT (i * 36 + j)::BIGINT AS cell_id, (j + 0.5) * radians(10) AS phi, (i + 0.5) * radians(10) AS theta FROM range(9) a(i), range(36) b(j)"),
+    "fibonacci": ({"points": 300}, "SELECT id::BIGINT AS cell_id, fmod(id * pi() * (3 - sqrt(5)), 2 * pi()) AS phi, acos(1 - 2 * (id + 0.5) / 600) AS theta FROM range(600) a(id) WHERE acos(1 - 2 * (id + 0.5) / 600) <= pi() / 2"),
+    "healpix": ({"degrees": 10.0}, """SELECT p::BIGINT AS cell_id, (p + 1 - 2 * i * (i - 1) - 0.5) * pi() / (2 * i) AS phi, acos(1 - i * i / 192.0) AS theta FROM (SELECT p, floor((1 + sqrt(1 + 2 * p)) / 2) AS i FROM range(112) a(p)) UNION ALL
+        SELECT p::BIGINT, ((p - 112) % 32 + 1 - (((p - 112) // 32 + 1) % 2) / 2.0) * pi() / 16, acos((16 - ((p - 112) // 32 + 8)) * 2 / 24.0) FROM range(112, 400) a(p)"""),
+}
+for _n, (_how, _sql) in _GRIDS.items():
+
+    @query(f"cells_{_n}", f"SELECT cell_id, count(*) AS n, {r('avg(vod)', 'mean')} FROM vg GROUP BY 1", R.BASE + f", grid AS ({_sql}), " + _NEAR)
+    def _(spark, sf, kind=_n, how=_how):
+        """Observations by the nearest centre of another kind of grid."""
+        v = grids.assign_cells(A.depth(spark, sf), grids.create(spark, kind, **how), 0.3)
+        return rounded(v.groupBy("cell_id").agg(F.count(F.lit(1)).alias("n"), F.avg("vod").alias("mean")))
