@@ -469,11 +469,11 @@ def _(spark, sf):
 
 
 @query("dedup_hash_or_overlap", """SELECT b.file_hash, CASE WHEN EXISTS (SELECT 1 FROM lg WHERE lg.file_hash = b.file_hash) THEN 'hash_match' WHEN EXISTS (SELECT 1 FROM lg WHERE lg.a <= b.b AND lg.b >= b.a) THEN 'temporal_overlap'
-    WHEN EXISTS (SELECT 1 FROM bt x WHERE x.file_hash <> b.file_hash AND x.a <= b.a AND x.b >= b.b) THEN 'contained' END AS reason FROM bt b""", _IV + ", lg AS (SELECT * FROM iv WHERE year(a) <= 1995), bt AS (SELECT * FROM iv WHERE year(b) >= 1995)")
+    WHEN EXISTS (SELECT 1 FROM bt x WHERE x.file_hash <> b.file_hash AND x.a <= b.a AND x.b >= b.b) THEN 'contained' END AS reason FROM bt b""", _IV + ", lg AS (SELECT * FROM iv WHERE year(a) <= 1996), bt AS (SELECT * FROM iv WHERE year(b) >= 1996)")
 def _(spark, sf):
-    """The files that reach into 1995 or later against a ledger of those that began by its end."""
+    """The files that reach into 1996 or later against a ledger of those that began by its end."""
     v = _intervals(spark, sf)
-    batch, ledger = v.where(F.year("end") >= 1995), v.where(F.year("start") <= 1995)
+    batch, ledger = v.where(F.year("end") >= 1996), v.where(F.year("start") <= 1996)
     return joins.ledger_verdicts(batch, ledger, 30 * 86_400).select("file_hash", "reason")
 
 
