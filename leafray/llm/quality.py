@@ -114,7 +114,7 @@ def fit(docs: DataFrame, sample: DataFrame) -> Model:
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id and score (chance of label 1) for every row; a text without features scores by the bias alone."""
+    """doc_id and score (chance of label 1) for every row; a text without features (null, empty) scores by the bias alone; an empty table gives an empty result."""
     part, bias = model.folded()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -243,7 +243,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, times: np.ndarray) -> tuple[float, f
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, score (0 to 1), passages (array of begin, end, score, e in tokens) for every row; null counts as empty."""
+    """doc_id, score (0 to 1), passages (array of begin, end, score, e in tokens) for every row; null counts as empty, and an empty table gives an empty result."""
     schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64()), ("passages", pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64()), ("score", pa.float64()), ("e", pa.float64())])))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -274,7 +274,11 @@ def scored(spark: SparkSession, docs: DataFrame, labels: DataFrame, folds: int =
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0) -> DataFrame:
-    """``docs`` without the texts that score 0.5 or more; rows are judged in place, all columns as they are."""
+    """``docs`` without the texts that score 0.5 or more; rows are judged in place, all columns as they are.
+
+    Null and empty texts are judged like any text without tokens; repeated rows
+    share their fate; an empty table gives an empty result.
+    """
     model = fit(docs, labelled.sample(labels, "toxic", labelled.fold("doc_id", folds) != held, SAMPLE))
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in words_.pieces(batches, "text"):

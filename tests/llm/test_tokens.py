@@ -77,3 +77,14 @@ def test_empty_tables(spark):
     empty = rows(spark, [])
     assert token_counts.count_tokens(spark, empty, PATH).count() == 0
     assert bpe.round_trip(empty, PATH).count() == 0
+
+
+def test_files_that_widen_tokens_are_refused(tmp_path):
+    import json
+
+    with open(tokenizer_path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        spec = json.load(f)
+    spec["added_tokens"] = [t | {"lstrip": True} for t in spec["added_tokens"]]
+    (tmp_path / "t.json").write_text(json.dumps(spec))
+    with pytest.raises(ValueError):
+        bpe.Splitter(str(tmp_path / "t.json"))
