@@ -17,6 +17,7 @@ overlap reaches over the whole document.
 from __future__ import annotations
 
 import os
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -62,14 +63,20 @@ def chunks(text: str, chunk: int, overlap: int) -> list[tuple[int, str]]:
     return out
 
 
-def boundaries(encoding) -> tuple[list[int], list[int]]:
-    """Pre-token starts of an encoding, and the number of tokens before each."""
-    at, before, last = [], [], object()
-    for k, (word, (start, _)) in enumerate(zip(encoding.word_ids, encoding.offsets, strict=True)):
+def boundaries(encoding, after: int, upto: int) -> tuple[list[int], list[int]]:
+    """Pre-token starts beyond the character ``after``, ``upto`` included, and the number of tokens before each."""
+    n = len(encoding)
+    start = lambda k: encoding.token_to_chars(k)[0]
+    first = bisect_right(range(n), after, key=start)
+    at, before = [], []
+    word = encoding.token_to_word(first - 1) if first else None
+    for k in range(first, n):
+        if (place := start(k)) > upto:
+            break
+        last, word = word, encoding.token_to_word(k)
         if word != last:
-            at.append(start)
+            at.append(place)
             before.append(k)
-            last = word
     return at, before
 
 
@@ -113,11 +120,9 @@ def _encode_chunks(cut: DataFrame, path: str, chunk: int, overlap: int) -> DataF
             out = []
             for x in batch.to_pylist():
                 e = t.encode(x["part"], add_special_tokens=False)
-                at, before = boundaries(e)
-                end = len(x["part"])
-                head = [(x["start"] + p, b) for p, b in zip(at, before, strict=True) if 0 < p <= overlap]
-                tail = [(x["start"] + p, b) for p, b in zip(at, before, strict=True) if chunk < p <= end - MARGIN]
-                out.append({k: x[k] for k in ("row", "doc_id", "n_bytes", "n_chars", "start")} | {"n": len(e.ids), "head_at": [p for p, _ in head], "head_n": [b for _, b in head], "tail_at": [p for p, _ in tail], "tail_n": [b for _, b in tail]})
+                head, tail = boundaries(e, 0, overlap), boundaries(e, chunk, len(x["part"]) - MARGIN)
+                shifted = [[x["start"] + p for p in side[0]] for side in (head, tail)]
+                out.append({k: x[k] for k in ("row", "doc_id", "n_bytes", "n_chars", "start")} | {"n": len(e), "head_at": shifted[0], "head_n": head[1], "tail_at": shifted[1], "tail_n": tail[1]})
             yield pa.RecordBatch.from_pylist(out, schema)
 
     return cut.mapInArrow(run, "row long, doc_id long, n_bytes long, n_chars long, start long, n long, head_at array<long>, head_n array<long>, tail_at array<long>, tail_n array<long>")
