@@ -332,11 +332,11 @@ def near_vectors(spark: SparkSession, vectors: DataFrame, threshold: float = THR
         links = links.union(again.where("a is not null").select("a", "b"))
     counts = counts.select("node", "others")
     mapping = components(links, f"{root}/components")
-    recall = found.agg(F.coalesce(F.expr("try_divide(sum(met), sum(wanted))"), F.lit(1.0)).alias("recall"))
+    recall = found.agg(F.coalesce(F.expr("try_divide(sum(met), sum(wanted))"), F.lit(1.0))).first()[0]
     label = classes.join(counts, "node").join(mapping, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = label.groupBy("component").agg(F.min("first_id").alias("component_id"))
     label = materialize(label.join(smallest, "component").select("print", "copies", (F.col("others") + F.col("copies") - 1).alias("n_links"), "component_id"), f"{root}/labels")
     linked = join_counted(good.select("vec_id", "print"), label, "print", "copies", total).select("vec_id", "n_links", "component_id")
     alone = rows.where("not usable").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     out = linked.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
-    return out.join(F.broadcast(recall))
+    return out.withColumn("recall", F.lit(recall))
