@@ -6,6 +6,7 @@ import os
 import re
 import tempfile
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 SPACE = r"[\x20\x09-\x0D]+"
 #: Most keys that a count table may mark as hot, and so the most rows a hot-key broadcast has.
 HOT_KEYS = 1000
+#: Bitmaps of a sieve, of 4 kB each, and so the most that it broadcasts.
+SIEVE = 1024
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
@@ -59,6 +62,35 @@ def join_counted(rows: DataFrame, keyed: DataFrame, key: str, count: str, total:
     return rows.join(hot, key).unionByName(cold.join(keyed.where(F.col(count) <= limit), key))
 
 
+def sieved(rows: DataFrame, key: list[Column], keys: DataFrame, key_of: list[Column], name: str = "maybe_") -> DataFrame:
+    """``rows`` with a boolean ``name``: false only where no row of ``keys`` has the same key, so that those need not meet ``keys``.
+
+    The keys' hashes set bits of SIEVE bitmaps, which are broadcast: 4 MB at
+    most, whatever the input. With very many keys ever more rows pass, and what
+    passes is still joined exactly, so only the amount that moves depends on it.
+    """
+    slot = lambda h: F.pmod(F.shiftrightunsigned(h, 15), F.lit(SIEVE))
+    bit = lambda h: h.bitwiseAND(F.lit(32767))
+    # as strings, since an int and a long of one value have different hashes
+    hash_ = lambda columns: F.xxhash64(*[c.cast("string") for c in columns])
+    hashed = keys.select(hash_(key_of).alias("h_"))
+    bits = hashed.select(slot(F.col("h_")).alias("slot_"), bit(F.col("h_")).alias("bit_")).groupBy("slot_").agg(F.bitmap_construct_agg("bit_").alias("bits_"))
+    own = rows.withColumn("h_", hash_(key))
+    met = own.join(F.broadcast(bits), slot(F.col("h_")) == F.col("slot_"), "left")
+    at = bit(F.col("h_"))
+    byte = F.conv(F.hex(F.substring(F.col("bits_"), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
+    return met.withColumn(name, F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False))).drop("h_", "slot_", "bits_")
+
+
+def without(rows: DataFrame, key: list[Column], gone: DataFrame, gone_key: list[str]) -> DataFrame:
+    """``rows`` whose null-safe ``key`` is not in ``gone``; only rows that a sieve lets pass are shuffled."""
+    named = gone.select(*[F.col(c).alias(f"{c}_gone") for c in gone_key])
+    marked = sieved(rows, key, gone, [F.col(c) for c in gone_key])
+    same = reduce(lambda a, b: a & b, [k.eqNullSafe(F.col(f"{c}_gone")) for k, c in zip(key, gone_key, strict=True)])
+    doubtful = marked.where("maybe_").join(named, same, "left_anti")
+    return marked.where("not maybe_").unionByName(doubtful).drop("maybe_")
+
+
 def components(edges: DataFrame, root: str) -> DataFrame:
     """Connected components of ``edges(a, b)``: one row ``(node, component)`` per node of an edge.
 

@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafray.llm.common import HOT_KEYS, SPACE, join_counted, materialize, shared_dir, text_or_empty
+from leafray.llm.common import HOT_KEYS, SPACE, join_counted, materialize, shared_dir, sieved, text_or_empty, without
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STREAM_CONF = {
@@ -25,7 +25,7 @@ STREAM_CONF = {
     # many small stores would otherwise each reserve megabytes of disk ahead
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "96",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "48",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
@@ -87,15 +87,15 @@ def stream_state(spark: SparkSession, source: str, schema, root: str, files_per_
 def _byte_check(docs: DataFrame, found: DataFrame, total: int, digest) -> DataFrame:
     """Digests whose hits don't all have the same full text.
 
-    Texts move once, by doc_id and print (rows without an id would all meet each
-    other by id alone), to the rows whose digest was met more than once; only
-    those are normalised again and gathered by digest. The smallest and the
+    The texts of these rows move once, by doc_id and print (rows without an id would all meet each
+    other by id alone), to be normalised again and gathered by digest. The smallest and the
     largest text of a group are equal if and only if all are; a hot group is
     dealt over salts first.
     """
     share = max(1, total // HOT_KEYS)
     hits = found.where("n > 1").select(F.col("doc_id").alias("hit_id"), "print", F.col("digest").alias("hit"), F.ceil(F.col("n") / share).alias("salts")).distinct()
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("own_print"))
+    texts = sieved(texts, [F.col("doc_id"), F.col("own_print")], hits, [F.col("hit_id"), F.col("print")]).where("maybe_")
     texts = texts.join(hits, (F.col("own_print") == F.col("print")) & F.col("doc_id").eqNullSafe(F.col("hit_id")))
     texts = texts.select(normalised("text").alias("norm"), "hit", F.pmod(F.xxhash64("doc_id", "own_print"), "salts").alias("salt"))
     own = texts.where(digest(F.col("norm")) == F.col("hit"))
@@ -105,13 +105,13 @@ def _byte_check(docs: DataFrame, found: DataFrame, total: int, digest) -> DataFr
 
 
 def copies(spark: SparkSession, docs: DataFrame, digest: Callable[[Column], Column] = sha256, files_per_batch: int | None = None) -> DataFrame:
-    """One row per row of ``docs``: doc_id, keep_id, group_size, kept, digest, row, repeated.
+    """One row per row of ``docs``: doc_id, keep_id, group_size, kept, digest, print, row, norm.
 
     ``docs`` needs doc_id and text; other columns are ignored. Null text counts
     as empty, and all empty texts form one group. Rows with a null doc_id come
     last in the choice of the row that stays. Rows that repeat both doc_id and
-    text are copies of each other: exactly one of them is kept, marked
-    ``repeated``. An empty table gives an empty result.
+    text are copies of each other: exactly one of them is kept. ``print`` is a
+    hash of the text as it is. An empty table gives an empty result.
     """
     root = shared_dir(spark, "exact")
     rows = materialize(entries(docs, digest), f"{root}/rows")
@@ -124,13 +124,13 @@ def copies(spark: SparkSession, docs: DataFrame, digest: Callable[[Column], Colu
     if not broken.isEmpty():
         return _regrouped(docs, flat, state, broken, digest, total)
     return found.select(
-        "doc_id", "keep_id", F.col("n").alias("group_size"), (F.col("row") == F.col("keep_row")).alias("kept"), "digest", "row", F.lit(None).cast("string").alias("norm")
+        "doc_id", "keep_id", F.col("n").alias("group_size"), (F.col("row") == F.col("keep_row")).alias("kept"), "digest", "print", "row", F.lit(None).cast("string").alias("norm")
     )
 
 
 def _regrouped(docs, flat, state, broken, digest, total) -> DataFrame:
     """Groups by full text for the digests that hold different texts (a broken or colliding digest)."""
-    texts = docs.select("doc_id", normalised("text").alias("norm")).withColumn("digest", digest(F.col("norm"))).join(broken, "digest")
+    texts = docs.select("doc_id", F.xxhash64("text").alias("print"), normalised("text").alias("norm")).withColumn("digest", digest(F.col("norm"))).join(broken, "digest")
     texts = texts.withColumn("row", F.monotonically_increasing_id())
     key = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("row"))
     groups = texts.groupBy("digest", "norm").agg(F.min(key).alias("keep"), F.count(F.lit(1)).alias("n"))
@@ -140,12 +140,13 @@ def _regrouped(docs, flat, state, broken, digest, total) -> DataFrame:
         F.col("n").alias("group_size"),
         (F.col("row") == F.col("keep.row")).alias("kept"),
         "digest",
+        "print",
         "row",
         "norm",
     )
     whole = state.join(broken, "digest", "left_anti").select("digest", "n", F.col("keep.doc_id").alias("keep_id"), F.col("keep.row").alias("keep_row"))
     rest = join_counted(flat, whole, "digest", "n", total).select(
-        "doc_id", "keep_id", F.col("n").alias("group_size"), (F.col("row") == F.col("keep_row")).alias("kept"), "digest", "row", F.lit(None).cast("string").alias("norm")
+        "doc_id", "keep_id", F.col("n").alias("group_size"), (F.col("row") == F.col("keep_row")).alias("kept"), "digest", "print", "row", F.lit(None).cast("string").alias("norm")
     )
     return rest.unionByName(split)
 
@@ -155,16 +156,15 @@ def drop_copies(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
     Of rows that repeat both doc_id and text, one stays.
     """
-    marked = copies(spark, docs)
-    key = ["doc_id", "digest"]
-    fate = marked.where("not kept").groupBy(*key).agg(F.count(F.lit(1)).alias("dropped"))
-    kept = marked.where("kept").select(*key, F.lit(True).alias("stays"))
-    fate = materialize(fate.join(kept, [fate[c].eqNullSafe(kept[c]) for c in key], "left").select(fate["doc_id"], fate["digest"], F.coalesce("stays", F.lit(False)).alias("stays")), shared_dir(spark, "fate"))
+    key = ["doc_id", "print"]
+    marked = copies(spark, docs).groupBy(*key).agg(F.count_if("kept").alias("stay"), F.count(F.lit(1)).alias("rows"))
+    fate = materialize(marked.where("stay < rows").select(*[F.col(c).alias(f"{c}_") for c in key], (F.col("stay") > 0).alias("stays")), shared_dir(spark, "fate"))
     names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
-    own = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
-    own = own.withColumn("digest", sha256(normalised(F.col(names["text"]))))
-    same = own[names["doc_id"]].eqNullSafe(fate["doc_id"]) & (own["digest"] == fate["digest"])
-    out = own.join(fate, same, "left_anti")
-    if not fate.where("stays").isEmpty():
-        out = out.unionByName(own.join(fate.where("stays"), same, "left_semi").dropDuplicates([names["doc_id"], "digest"]))
+    own = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()]).withColumn("print", F.xxhash64(F.col(names["text"])))
+    of_row = [F.col(names["doc_id"]), F.col("print")]
+    out = without(own, of_row, fate, ["doc_id_", "print_"])
+    again = fate.where("stays")
+    if not again.isEmpty():
+        same = F.col(names["doc_id"]).eqNullSafe(F.col("doc_id_")) & (F.col("print") == F.col("print_"))
+        out = out.unionByName(own.join(again, same, "left_semi").dropDuplicates([names["doc_id"], "print"]))
     return out.select(*[F.col(n).alias(c) for c, n in names.items()])

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafray.llm import words
-from leafray.llm.common import components, join_counted, materialize, shared_dir
+from leafray.llm.common import components, join_counted, materialize, shared_dir, sieved, without
 
 WORDS = 5
 THRESHOLD = 75
@@ -132,6 +132,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, length: int, repeats: bool) -> Dat
             yield pa.RecordBatch.from_arrays([*[piece.column(c) for c in ("node", "n", "bits")], *lists], names=["node", "n", "bits", "bitmap", "shingles"]).filter(same)
 
     texts = docs.select(F.col("doc_id").alias("id2"), F.xxhash64("text").alias("print2"), "text")
+    texts = sieved(texts, [F.col("id2"), F.col("print2")], wanted, [F.col("id"), F.col("print")]).where("maybe_")
     texts = texts.distinct() if repeats else texts
     joined = texts.join(wanted, (F.col("print") == F.col("print2")) & F.col("id").eqNullSafe(F.col("id2"))).select("node", "digest", "n", "bits", "text")
     return joined.mapInArrow(run, "node long, n long, bits array<long>, bitmap array<long>, shingles array<long>")
@@ -177,7 +178,7 @@ def _cross_pairs(members: DataFrame, sets: DataFrame, mapping: DataFrame, thresh
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, length: int = WORDS, threshold: int = THRESHOLD) -> DataFrame:
-    """One row per row of ``docs``: doc_id, row, n_shingles, text_sha, component, component_id, kept.
+    """One row per row of ``docs``: doc_id, row, print, n_shingles, text_sha, component, component_id, kept.
 
     ``docs`` needs doc_id and text; other columns are ignored. Texts without
     words (null, empty, white space) have empty sets and link with nothing.
@@ -213,9 +214,9 @@ def near_copies(spark: SparkSession, docs: DataFrame, length: int = WORDS, thres
     label = classes.join(mapping, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = label.groupBy("component").agg(F.min("first_id").alias("component_id"))
     label = materialize(label.join(smallest, "component").select("digest", "copies", "component", "component_id"), f"{root}/labels")
-    of_full = join_counted(full.select("doc_id", "row", "n_shingles", "text_sha", "digest"), label, "digest", "copies", total)
-    out = of_full.select("doc_id", "row", "n_shingles", "text_sha", "component", "component_id")
-    alone = signed.where("n_shingles = 0").select("doc_id", "row", "n_shingles", "text_sha", F.col("row").alias("component"), F.col("doc_id").alias("component_id"))
+    of_full = join_counted(full.select("doc_id", "row", "print", "n_shingles", "text_sha", "digest"), label, "digest", "copies", total)
+    out = of_full.select("doc_id", "row", "print", "n_shingles", "text_sha", "component", "component_id")
+    alone = signed.where("n_shingles = 0").select("doc_id", "row", "print", "n_shingles", "text_sha", F.col("row").alias("component"), F.col("doc_id").alias("component_id"))
     return out.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
@@ -229,17 +230,17 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, length: int = WORDS,
     key = ["doc_id", "text_sha"]
     full = near_copies(spark, docs, length, threshold).where("n_shingles > 0")
     root = shared_dir(spark, "near")
-    texts = materialize(full.groupBy("component", *key).agg(F.count(F.lit(1)).alias("times")), f"{root}/texts")
+    texts = materialize(full.groupBy("component", "print", *key).agg(F.count(F.lit(1)).alias("times")), f"{root}/texts")
     best = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), *key))
     groups = materialize(texts.groupBy("component").agg(best.alias("keep"), F.count(F.lit(1)).alias("n"), F.sum("times").alias("rows")).where("rows > 1").drop("rows"), f"{root}/groups")
     stays = F.col("doc_id").eqNullSafe(F.col("keep.doc_id")) & (F.col("text_sha") == F.col("keep.text_sha"))
     fate = join_counted(texts, groups, "component", "n", texts.count()).withColumn("stays", stays).where("not stays or times > 1")
-    fate = materialize(fate.select(*[F.col(c).alias(f"{c}_") for c in key], "stays"), f"{root}/fate")
+    fate = materialize(fate.select(F.col("doc_id").alias("doc_id_"), F.col("print").alias("print_"), "stays"), f"{root}/fate")
     names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
-    own = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
-    own = own.withColumn("text_sha", F.unhex(F.sha2(F.coalesce(F.col(names["text"]), F.lit("")), 256)))
-    same = own[names["doc_id"]].eqNullSafe(fate["doc_id_"]) & (own["text_sha"] == fate["text_sha_"])
-    out = own.join(fate, same, "left_anti")
-    if not fate.where("stays").isEmpty():
-        out = out.unionByName(own.join(fate.where("stays"), same, "left_semi").dropDuplicates([names["doc_id"], "text_sha"]))
+    own = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()]).withColumn("print", F.xxhash64(F.col(names["text"])))
+    out = without(own, [F.col(names["doc_id"]), F.col("print")], fate, ["doc_id_", "print_"])
+    again = fate.where("stays")
+    if not again.isEmpty():
+        same = F.col(names["doc_id"]).eqNullSafe(F.col("doc_id_")) & (F.col("print") == F.col("print_"))
+        out = out.unionByName(own.join(again, same, "left_semi").dropDuplicates([names["doc_id"], "print"]))
     return out.select(*[F.col(n).alias(c) for c, n in names.items()])

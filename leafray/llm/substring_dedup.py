@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafray.llm import words
-from leafray.llm.common import join_counted, materialize, shared_dir
+from leafray.llm.common import join_counted, materialize, shared_dir, sieved
 
 WINDOW = 50
 #: Words of an anchor.
@@ -204,6 +204,7 @@ def _texts(docs: DataFrame, wanted: DataFrame, repeats: bool) -> DataFrame:
             yield piece.filter(pa.array(same, pa.bool_())).select(["row", "doc", "anchors", "text"])
 
     texts = docs.select(F.col("doc_id").alias("id2"), F.xxhash64("text").alias("print2"), "text")
+    texts = sieved(texts, [F.col("id2"), F.col("print2")], wanted, [F.col("doc_id"), F.col("print")]).where("maybe_")
     texts = texts.distinct() if repeats else texts
     joined = texts.join(wanted, (F.col("print") == F.col("print2")) & F.col("doc_id").eqNullSafe(F.col("id2")))
     return joined.select("row", "doc", "anchors", "joined_sha", "text").mapInArrow(run, "row long, doc long, anchors array<long>, text string")
