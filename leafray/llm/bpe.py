@@ -185,6 +185,34 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", text: str = "decoded
     return encoded.select(*[f"`{c}`" for c in keep]).mapInArrow(run, schema)
 
 
+def encode_checked(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """All columns of ``docs`` but the text, and n_tokens, ids and round_trip: whether the ids decode to the text.
+
+    One pass, and so one Python worker a task. A null text counts as empty and
+    has no ids; columns named like the new ones are replaced; an empty table
+    gives an empty result.
+    """
+    from pyspark.sql import types as T
+
+    new = ["n_tokens", "ids", "round_trip"]
+    keep = [c for c in docs.columns if c not in (text, *new)]
+    kinds = [T.IntegerType(), T.ArrayType(T.IntegerType(), False), T.BooleanType()]
+    schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(c, k, False) for c, k in zip(new, kinds, strict=True)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        s = splitter(path)
+        for batch in words.pieces(batches, text):
+            found, same = [], []
+            for t in batch.column(text).to_pylist():
+                ids = s.encode(t or "")
+                found.append(ids.astype(np.int32))
+                same.append(s.decode(ids) == (t or ""))
+            n = pa.array([len(x) for x in found], pa.int32())
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], n, words.listed(found, pa.int32()), pa.array(same, pa.bool_())], names=[*keep, *new])
+
+    return docs.select(*[f"`{c}`" for c in [*keep, text]]).mapInArrow(run, schema)
+
+
 def round_trip(docs: DataFrame, path: str) -> DataFrame:
     """Digests of the tokens and of the text decoded from them: doc_id, n_tokens, ids_sha256, decoded_sha256.
 

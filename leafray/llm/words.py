@@ -170,5 +170,5 @@ def shingle_sets(words: Words, length: int) -> list[np.ndarray]:
 def listed(arrays: list[np.ndarray], kind: pa.DataType, valid: np.ndarray | None = None) -> pa.ListArray:
     """Arrays as one column of lists; where ``valid`` is false, null."""
     offsets = np.concatenate([[0], np.cumsum([len(a) for a in arrays], dtype=np.int64)]).astype(np.int32)
-    values = pa.array(np.concatenate(arrays) if arrays else np.empty(0, np.int64), kind)
+    values = pa.array(np.concatenate(arrays) if arrays else np.empty(0, kind.to_pandas_dtype()), kind)
     return pa.ListArray.from_arrays(pa.array(offsets), values, mask=None if valid is None else pa.array(~valid))
