@@ -12,7 +12,6 @@ their own, and an empty table gives an empty result.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from leafray.llm import bpe, exact_dedup, minhash, mixing, mixing_queries, toxicity
 from leafray.llm.common import materialize, shared_dir, tokenizer_path
@@ -57,12 +56,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A null text has no ids. Columns that are named like the new ones are replaced.
     """
-    path = tokenizer_path("byte_bpe_50k.json")
-    decoded = bpe.decode(bpe.encode(docs, path), path)
-    exact = F.col("decoded").eqNullSafe(F.coalesce("text", F.lit("")))
-    new = ["n_tokens", "ids", "round_trip"]
-    out = decoded.withColumn("n_tokens", F.size("ids")).withColumn("round_trip", exact)
-    return out.select(*[f"`{c}`" for c in docs.columns if c not in ("text", "decoded", *new)], *new)
+    return bpe.encode_checked(docs, tokenizer_path("byte_bpe_50k.json"))
 
 
 STAGES = [
