@@ -465,7 +465,7 @@ def _intervals(spark, sf):
 @query("interval_overlap", "SELECT x.file_hash, y.file_hash AS file_hash_2 FROM iv x JOIN iv y ON x.o_custkey = y.o_custkey AND x.file_hash < y.file_hash AND x.a <= y.b AND x.b >= y.a", _IV)
 def _(spark, sf):
     v = _intervals(spark, sf)
-    return joins.overlapping(v, v, 14 * 86_400, on=["o_custkey"], open_ends=False).where("file_hash < file_hash_2").select("file_hash", "file_hash_2")
+    return joins.overlapping(v, v, 90 * 86_400, on=["o_custkey"], open_ends=False).where("file_hash < file_hash_2").select("file_hash", "file_hash_2")
 
 
 @query("dedup_hash_or_overlap", """SELECT b.file_hash, CASE WHEN EXISTS (SELECT 1 FROM lg WHERE lg.file_hash = b.file_hash) THEN 'hash_match' WHEN EXISTS (SELECT 1 FROM lg WHERE lg.a <= b.b AND lg.b >= b.a) THEN 'temporal_overlap'
