@@ -200,7 +200,7 @@ def _(spark, sf):
     """The day's course of two different series, at the hours that both have."""
     v = A.gridded(spark, sf)
     out = percell.averaged_diurnal([aggregate.percell_timeseries(v.where(F.col("sid").startswith(s)), "6h") for s in ("G", "E")])
-    return rounded(out).withColumn("std", F.round("std", 5) + 0.0)
+    return rounded(out.withColumn("std", F.round("std", 5)))
 
 
 _VELOCITIES = R._ORBIT + f", va AS (SELECT ob.*, {_SPEEDS} FROM ob JOIN (SELECT sv, median(g) AS st FROM (SELECT sv, t - lag(t) OVER (PARTITION BY sv ORDER BY t) AS g FROM ob) GROUP BY 1) USING (sv) WINDOW w AS (PARTITION BY sv ORDER BY t))"
