@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafray.llm import bpe, exact_dedup, hnsw, minhash, mixing, mixing_queries, ngrams, quality, substring_dedup, token_counts, toxicity
+from leafray.llm import bpe, exact_dedup, hnsw, minhash, mixing, mixing_queries, negatives, ngrams, quality, substring_dedup, token_counts, toxicity
 from leafray.llm.common import tokenizer_path
 
 
@@ -69,6 +69,16 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of the rows whose vec_id is divisible by 50, against all rows, in units of 1/256."""
+    x = lambda v: v.cast("double") * 256
+    # from 2^52 on every double is whole
+    whole = lambda v: F.when(F.abs(x(v)) < 2.0**52, F.floor(x(v)).cast("double")).otherwise(x(v))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", label.alias("label"), F.transform("embedding", whole).alias("vector"))
+    return negatives.hard_negatives(spark, vectors, F.col("vec_id") % 50 == 0)
+
+
 OP10_SQL = r"""
 WITH t AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents
@@ -86,7 +96,7 @@ reach AS (SELECT id, min(low) AS low FROM walk GROUP BY id)"""
 
 OP2_SQL = (
     r"""
-WITH RECURSIVE w AS (SELECT doc_id AS id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS w FROM documents),
+WITH RECURSIVE w AS (SELECT doc_id AS id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
 s AS (SELECT DISTINCT id, hash(array_to_string(list_slice(w, i, least(i + 4, len(w))), ' ')) AS s FROM (SELECT id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM w WHERE len(w) > 0)),
 n AS (SELECT id, count(*) AS n FROM s GROUP BY id),
 c AS (SELECT x.id AS a, y.id AS b, count(*) AS c FROM s x JOIN s y ON x.s = y.s AND x.id <> y.id GROUP BY ALL),
@@ -99,7 +109,7 @@ SELECT node.id AS doc_id, node.n AS n_shingles, reach.low AS component_id, node.
 )
 
 OP8_SQL = r"""
-WITH t AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS w FROM documents),
+WITH t AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 k AS (SELECT doc_id, unnest(w) AS w, generate_subscripts(w, 1) AS i FROM t),
 d AS (SELECT w, row_number() OVER () AS c FROM (SELECT DISTINCT w FROM k)),
 g AS (SELECT doc_id, i, list(c) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING) AS g FROM k JOIN d ON d.w = k.w),
@@ -122,6 +132,16 @@ SELECT node.id AS vec_id, (SELECT count(*) FROM edge WHERE edge.a = node.id) AS
 """
 )
 
+OP11_SQL = """
+WITH v AS (SELECT row_number() OVER () AS row, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.row AS a, a.vec_id AS anchor_id, a.label = c.label AS same, c.vec_id AS id, list_inner_product(a.e, c.e)::BIGINT AS score FROM v a JOIN v c ON a.row <> c.row AND len(a.e) = len(c.e) WHERE a.vec_id % 50 = 0),
+p AS (SELECT a, anchor_id, id AS positive_id, score AS positive_score, row_number() OVER (PARTITION BY a ORDER BY score DESC, id) AS k FROM s WHERE same QUALIFY k <= 5),
+n AS (SELECT p.*, s.id AS negative_id, s.score AS negative_score, row_number() OVER (PARTITION BY p.a, p.k ORDER BY s.score DESC, s.id) AS r
+  FROM p JOIN s ON s.a = p.a AND NOT s.same AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score QUALIFY r <= 3)
+SELECT anchor_id, positive_id, r::INTEGER AS rank, negative_id, positive_score, negative_score FROM n
+"""
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_minhash": op2_minhash,
@@ -134,5 +154,6 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_hnsw": op9_hnsw,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_negatives": op11_negatives,
 }
-ORACLES = {"op1_mixing": mixing_queries.sql(), "op2_minhash": OP2_SQL, "op3_backoff": ngrams.LEFT_OUT_SQL, "op3_backoff_trigrams": ngrams.SQL, "op8_substring_dedup": OP8_SQL, "op9_hnsw": OP9_SQL, "op10_exact_dedup": OP10_SQL}
+ORACLES = {"op1_mixing": mixing_queries.sql(), "op2_minhash": OP2_SQL, "op3_backoff": ngrams.LEFT_OUT_SQL, "op3_backoff_trigrams": ngrams.SQL, "op8_substring_dedup": OP8_SQL, "op9_hnsw": OP9_SQL, "op10_exact_dedup": OP10_SQL, "op11_negatives": OP11_SQL}
