@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafray.llm import bpe, exact_dedup, hnsw, minhash, mixing, mixing_queries, negatives, ngrams, quality, substring_dedup, token_counts, toxicity
-from leafray.llm.common import tokenizer_path
+from leafray.llm import bpe, exact_dedup, hnsw, minhash, mixing, mixing_queries, negatives, ngrams, quality, substring_dedup, token_counts, toxicity, warc
+from leafray.llm.common import shared_dir, tokenizer_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,6 +79,15 @@ def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.hard_negatives(spark, vectors, F.col("vec_id") % 50 == 0)
 
 
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as archives and read back by byte ranges."""
+    path = shared_dir(spark, "archives")
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", F.col("html").cast("binary").alias("payload"))
+    warc.write_archives(spark, pages, path)
+    found = warc.read_archives(spark, path)
+    return found.select(warc.page_of(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest", "record_type", warc.page_of(F.col("refers_to")).alias("refers_to"))
+
+
 OP10_SQL = r"""
 WITH t AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents
@@ -142,6 +151,14 @@ n AS (SELECT p.*, s.id AS negative_id, s.score AS negative_score, row_number() O
 SELECT anchor_id, positive_id, r::INTEGER AS rank, negative_id, positive_score, negative_score FROM n
 """
 
+OP12_SQL = """
+WITH t AS (SELECT page_id, row_number() OVER () AS row, coalesce(html, '') AS p FROM pages),
+w AS (SELECT *, row_number() OVER (PARTITION BY p ORDER BY page_id DESC NULLS LAST, row) AS k, max(page_id) OVER (PARTITION BY p) AS first, octet_length(encode(p)) AS n, sha1(p) AS h FROM t)
+SELECT page_id, n::BIGINT AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(h, 1 + 10 * (i // 8)::INTEGER, 10))::BIGINT >> (35 - 5 * (i % 8)::INTEGER)) & 31)::INTEGER, 1)), '') AS payload_digest,
+  CASE WHEN k = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN k > 1 THEN first END AS refers_to FROM w
+"""
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_minhash": op2_minhash,
@@ -155,5 +172,6 @@ QUERIES = {
     "op9_hnsw": op9_hnsw,
     "op10_exact_dedup": op10_exact_dedup,
     "op11_negatives": op11_negatives,
+    "op12_warc": op12_warc,
 }
-ORACLES = {"op1_mixing": mixing_queries.sql(), "op2_minhash": OP2_SQL, "op3_backoff": ngrams.LEFT_OUT_SQL, "op3_backoff_trigrams": ngrams.SQL, "op8_substring_dedup": OP8_SQL, "op9_hnsw": OP9_SQL, "op10_exact_dedup": OP10_SQL, "op11_negatives": OP11_SQL}
+ORACLES = {"op1_mixing": mixing_queries.sql(), "op2_minhash": OP2_SQL, "op3_backoff": ngrams.LEFT_OUT_SQL, "op3_backoff_trigrams": ngrams.SQL, "op8_substring_dedup": OP8_SQL, "op9_hnsw": OP9_SQL, "op10_exact_dedup": OP10_SQL, "op11_negatives": OP11_SQL, "op12_warc": OP12_SQL}
