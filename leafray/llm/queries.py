@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafray.llm import bpe, exact_dedup, hnsw, minhash, mixing, mixing_queries, negatives, ngrams, quality, substring_dedup, token_counts, toxicity, warc
+from leafray.llm import bpe, conversations, exact_dedup, hnsw, minhash, mixing, mixing_queries, negatives, ngrams, quality, substring_dedup, token_counts, toxicity, warc
 from leafray.llm.common import shared_dir, tokenizer_path
 
 
@@ -88,6 +88,22 @@ def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(warc.page_of(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest", "record_type", warc.page_of(F.col("refers_to")).alias("refers_to"))
 
 
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, damaged by a hash of conversation and turn, and repaired."""
+    own = _table(spark, sf_dir, "conversations")
+    filled = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    chance = F.crc32(F.concat(filled("conv_id"), F.lit(":"), filled("turn"))) % 20
+    text = F.when(F.col("chance") == 1, "").when(F.col("chance") == 2, F.regexp_replace(filled("text"), "[.!?]", "")).otherwise(filled("text"))
+    role = F.when(F.col("chance") == 4, "user").otherwise(filled("role"))
+    rows = own.withColumn("chance", chance).where("chance <> 0")
+    rows = rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), F.explode(F.sequence(F.lit(1), F.when(F.col("chance") == 3, 2).otherwise(1))).alias("time"))
+    found = conversations.repaired(spark, rows).drop("rows").withColumnRenamed("conv_id", "found_id")
+    all_ = own.select("conv_id").distinct()
+    out = all_.join(found, F.col("conv_id").eqNullSafe(F.col("found_id")), "left")
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return out.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 OP10_SQL = r"""
 WITH t AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents
@@ -159,6 +175,47 @@ SELECT page_id, n::BIGINT AS payload_bytes,
   CASE WHEN k = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN k > 1 THEN first END AS refers_to FROM w
 """
 
+
+def _op13_sql() -> str:
+    """Forwards, state by state: the least (cost, audit) in which each of the four states is reached, with the lines written so far."""
+    moved = lambda of, cost, letter, line="''": f"{{'c': {of}.c + {cost}, 'a': {of}.a || '{letter}', 'o': {of}.o || {line}}}"
+    least = lambda *options: f"list_sort([{', '.join(options)}])[1]"
+    new = {"u": "'user:' || text || chr(10)", "a": "'assistant:' || text || chr(10)"}
+    empty = {"u": "'user:' || chr(10)", "a": "'assistant:' || chr(10)"}
+    kept = lambda of, r: moved(of, f"CASE WHEN r = '{r}' THEN stay ELSE 1000000 END", "K", "role || ':' || text || chr(10)")
+    reroled = lambda of, r: moved(of, "stay + 1", "R", new[r])
+    rows = [
+        least(moved("e0", 2, "D")) + " AS n0",
+        least(moved("e1", 2, "D"), kept("e0", "s")) + " AS n1",
+        least(moved("e2", 2, "D"), *[f(e, "u") for e in ("e0", "e1", "e3") for f in (kept, reroled)]) + " AS n2",
+        least(moved("e3", 2, "D"), kept("e2", "a"), reroled("e2", "a")) + " AS n3",
+    ]
+    nothing = "{'c': 0, 'a': '', 'o': ''}"
+    user = least("n2", *[moved(n, 5, "I", empty["u"]) for n in ("n0", "n1", "n3")])
+    return f"""
+WITH RECURSIVE raw AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+hashed AS (SELECT *, xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(k, ''), lambda x: ord(x)::BIGINT),
+  lambda c, b: list_reduce([xor(c, b)] || range(8), lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)), 4294967295) % 20 AS h FROM raw),
+damaged AS (SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role, CASE h WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+  unnest(CASE WHEN h = 3 THEN [1, 2] ELSE [1] END) FROM hashed WHERE h <> 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i, substr(role, 1, 1) AS r FROM damaged),
+faulted AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+  WHEN NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z') THEN 'truncated' ELSE '' END AS fault,
+  coalesce(lag(r) OVER (PARTITION BY conv_id ORDER BY i) || r NOT IN ('su', 'ua', 'au'), false) AS broken FROM placed),
+row_ AS (SELECT *, CASE fault WHEN '' THEN 0 WHEN 'truncated' THEN 5 ELSE 1000000 END AS stay FROM faulted),
+ids AS (SELECT DISTINCT conv_id FROM conversations),
+walk AS (SELECT conv_id, 0::BIGINT AS i, {nothing} AS e0, {{'c': 1000000, 'a': '', 'o': ''}} AS e1, {{'c': 5, 'a': 'I', 'o': 'user:' || chr(10)}} AS e2,
+  {{'c': 10, 'a': 'II', 'o': 'user:' || chr(10) || 'assistant:' || chr(10)}} AS e3 FROM ids
+  UNION ALL SELECT conv_id, i, n0, n1, u, {least('n3', moved('u', 5, 'I', empty['a']))} FROM (SELECT *, {user} AS u FROM (SELECT row_.conv_id, row_.i, {', '.join(rows)}
+    FROM walk JOIN row_ ON row_.conv_id IS NOT DISTINCT FROM walk.conv_id AND row_.i = walk.i + 1))),
+ended AS (SELECT conv_id, {least('e0', 'e3')} AS e FROM walk QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1),
+facts AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+  count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (broken) AS illegal FROM row_ GROUP BY conv_id)
+SELECT ended.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  e.c::BIGINT AS cost, e.a AS audit, sha256(e.o[:-2]) AS repaired_sha256 FROM ended LEFT JOIN facts ON facts.conv_id IS NOT DISTINCT FROM ended.conv_id
+"""
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_minhash": op2_minhash,
@@ -173,5 +230,6 @@ QUERIES = {
     "op10_exact_dedup": op10_exact_dedup,
     "op11_negatives": op11_negatives,
     "op12_warc": op12_warc,
+    "op13_conversations": op13_conversations,
 }
-ORACLES = {"op1_mixing": mixing_queries.sql(), "op2_minhash": OP2_SQL, "op3_backoff": ngrams.LEFT_OUT_SQL, "op3_backoff_trigrams": ngrams.SQL, "op8_substring_dedup": OP8_SQL, "op9_hnsw": OP9_SQL, "op10_exact_dedup": OP10_SQL, "op11_negatives": OP11_SQL, "op12_warc": OP12_SQL}
+ORACLES = {"op1_mixing": mixing_queries.sql(), "op2_minhash": OP2_SQL, "op3_backoff": ngrams.LEFT_OUT_SQL, "op3_backoff_trigrams": ngrams.SQL, "op8_substring_dedup": OP8_SQL, "op9_hnsw": OP9_SQL, "op10_exact_dedup": OP10_SQL, "op11_negatives": OP11_SQL, "op12_warc": OP12_SQL, "op13_conversations": _op13_sql()}
