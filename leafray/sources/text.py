@@ -88,8 +88,6 @@ def read_nmea(spark: SparkSession, path: str) -> DataFrame:
     return sats.select("file", "epoch", sv.alias("sv"), F.col("b.snr").try_cast("double").alias("snr")).where("sv is not null").groupBy("file", "epoch", "sv").agg(F.max("snr").alias("snr"))
 
 
-_SCHEMA = "file string, epoch timestamp_ntz, sid string, snr double, pseudorange double, phase double, doppler double, lli int, ssi int"
-_NAMES = {"S": "snr", "C": "pseudorange", "L": "phase", "D": "doppler"}
 # Band names by system and the digit of an observation code.
 BAND_OF_DIGIT = {
     "G": {"1": "L1", "2": "L2", "5": "L5"},
@@ -102,64 +100,11 @@ BAND_OF_DIGIT = {
 }
 
 
-def parse_rinex3(text: str) -> Iterator[dict]:
-    """Rows (epoch, sid and values) of a RINEX 3 observation file; unreadable epochs are skipped, zero SNR is missing."""
-    import datetime as dt
-
-    codes: dict[str, list[str]] = {}
-    system, epoch, header = "", None, True
-    for line in text.splitlines():
-        if header:
-            label = line[60:].strip()
-            if label == "SYS / # / OBS TYPES":
-                system = line[0].strip() or system
-                codes.setdefault(system, []).extend(line[7:60].split())
-            header = label != "END OF HEADER"
-            continue
-        if line.startswith(">"):
-            p = line[1:].split()
-            try:
-                epoch = dt.datetime(*map(int, p[:5])) + dt.timedelta(seconds=float(p[5]))
-            except (ValueError, IndexError):
-                epoch = None
-            continue
-        if epoch is None or len(line) < 3 or line[0] not in codes:
-            continue
-        sv, found = line[:3].replace(" ", "0"), {}
-        for k, code in enumerate(codes[line[0]]):
-            cell = line[3 + 16 * k : 19 + 16 * k]
-            try:
-                value = float(cell[:14])
-            except ValueError:
-                continue
-            if code[0] not in _NAMES or (code[0] == "S" and value == 0):
-                continue
-            band = BAND_OF_DIGIT[line[0]].get(code[1], f"UnknownBand{code[1]}") if line[0] in BAND_OF_DIGIT else f"UnknownBand{code[1]}"
-            row = found.setdefault(f"{sv}|{band}|{code[2:3]}", {})
-            row[_NAMES[code[0]]] = value
-            if code[0] == "L":
-                row |= {n: int(c) for n, c in (("lli", cell[14:15]), ("ssi", cell[15:16])) if c.isdigit()}
-        for sid, values in found.items():
-            yield {"epoch": epoch, "sid": sid, **values}
-
-
 def read_rinex3(spark: SparkSession, path: str) -> DataFrame:
-    """Observations in long form, one task per file; files are whole-text rows."""
-    schema = pa.schema([("file", pa.string()), ("epoch", pa.timestamp("us")), ("sid", pa.string()), *[(n, pa.float64()) for n in ("snr", "pseudorange", "phase", "doppler")], ("lli", pa.int32()), ("ssi", pa.int32())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for file, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                rows = []
-                for row in parse_rinex3(text):
-                    rows.append({"file": file} | row)
-                    if len(rows) == 20_000:
-                        yield pa.RecordBatch.from_pylist(rows, schema)
-                        rows = []
-                yield pa.RecordBatch.from_pylist(rows, schema)
+    """Observations of RINEX 3 files, as ``leafray.sources.rinex3`` reads them."""
+    from leafray.sources import rinex3
 
-    whole = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
-    return whole.mapInArrow(run, _SCHEMA)
+    return rinex3.read_rinex3(spark, path)
 
 
 def violations(df: DataFrame, required: dict[str, str]) -> list[str]:
