@@ -61,6 +61,28 @@ def read_validity(spark: SparkSession, path: str, block: str) -> DataFrame:
     return inside.select("file", "line", F.split(F.trim("value"), r"\s+").alias("fields"))
 
 
+def satellites_in_view(sentence: Column) -> Column:
+    """Satellites and strengths of a satellites-in-view sentence; sv is null where the number belongs to no system."""
+    f = F.split(F.regexp_extract(sentence, r"^\$([^*]*)", 1), ",")
+    talker = F.substring(f.getItem(0), 1, 2)
+    places = F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.size(f) - 4) / 4) - 1).cast("int"))
+
+    def satellite(i: Column) -> Column:
+        prn = F.try_element_at(f, (5 + i * 4).cast("int")).try_cast("int")
+        numbered = lambda system, n: F.concat(F.lit(system), F.lpad(n.cast("string"), 2, "0"))
+        sv = (
+            F.when((talker == "GP") & prn.between(33, 64), numbered("S", prn - 13))
+            .when(talker == "GP", numbered("G", prn))
+            .when((talker == "GL") & (prn > 64), numbered("R", prn - 64))
+            .when(talker == "GL", numbered("R", prn))
+            .when(talker == "GA", numbered("E", prn))
+            .when(talker.isin("GB", "BD"), numbered("C", prn))
+        )
+        return F.struct(sv.alias("sv"), F.try_element_at(f, (8 + i * 4).cast("int")).try_cast("double").alias("snr"))
+
+    return F.transform(places, satellite)
+
+
 def read_nmea(spark: SparkSession, path: str) -> DataFrame:
     """epoch (seconds of day), sv, snr from satellites-in-view sentences; bad checksums are dropped.
 
@@ -74,18 +96,8 @@ def read_nmea(spark: SparkSession, path: str) -> DataFrame:
     seconds = F.substring(stamp, 1, 2).try_cast("int") * 3600 + F.substring(stamp, 3, 2).try_cast("int") * 60 + F.substring(stamp, 5, 10).try_cast("double")
     w = Window.partitionBy("file").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
     known = lines.withColumn("epoch", F.last(seconds, ignorenulls=True).over(w)).where((kind == "GSV") & F.col("epoch").isNotNull())
-    blocks = F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.size(f) - 4) / 4) - 1).cast("int")), lambda i: F.struct(F.try_element_at(f, (5 + i * 4).cast("int")).alias("prn"), F.try_element_at(f, (8 + i * 4).cast("int")).alias("snr")))
-    sats = known.select("file", "epoch", F.substring(f.getItem(0), 1, 2).alias("talker"), F.explode(blocks).alias("b"))
-    prn, talker = F.col("b.prn").try_cast("int"), F.col("talker")
-    sv = (
-        F.when((talker == "GP") & prn.between(33, 64), F.concat(F.lit("S"), F.lpad((prn - 13).cast("string"), 2, "0")))
-        .when(talker == "GP", F.concat(F.lit("G"), F.lpad(prn.cast("string"), 2, "0")))
-        .when((talker == "GL") & (prn > 64), F.concat(F.lit("R"), F.lpad((prn - 64).cast("string"), 2, "0")))
-        .when(talker == "GL", F.concat(F.lit("R"), F.lpad(prn.cast("string"), 2, "0")))
-        .when(talker == "GA", F.concat(F.lit("E"), F.lpad(prn.cast("string"), 2, "0")))
-        .when(talker.isin("GB", "BD"), F.concat(F.lit("C"), F.lpad(prn.cast("string"), 2, "0")))
-    )
-    return sats.select("file", "epoch", sv.alias("sv"), F.col("b.snr").try_cast("double").alias("snr")).where("sv is not null").groupBy("file", "epoch", "sv").agg(F.max("snr").alias("snr"))
+    sats = known.select("file", "epoch", F.explode(satellites_in_view(F.col("value"))).alias("b")).select("file", "epoch", "b.sv", "b.snr")
+    return sats.where("sv is not null").groupBy("file", "epoch", "sv").agg(F.max("snr").alias("snr"))
 
 
 # Band names by system and the digit of an observation code.
