@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from bisect import bisect_left, insort
 from collections.abc import Sequence
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -100,8 +101,12 @@ def sliding_hampel(df: DataFrame, hours: float = 1.0, value: str = "vod", by: Se
     Frames with fewer than ``min_points`` values, or without deviation, flag
     nothing. The group also goes by day parts of the time axis: each row is
     copied to the parts its frame reaches, so that one group with most of the
-    rows still spreads over tasks. A part is swept once, in Arrow batches.
+    rows still spreads over tasks. A part is swept once, in Arrow batches. Rows
+    with a null key or time are in no frame and stay unflagged.
     """
+    placed = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in (*by, time)])
+    apart = df.where(~placed).withColumn("is_outlier", F.lit(False))
+    df = df.where(placed)
     reach = int(hours * 3600 * 1_000_000)
     part = max(reach, 86_400_000_000)
     t = df.withColumn("t_", micros(F.col(time))).withColumn("home_", F.floor(F.col("t_") / part)).withColumn("v_", F.col(value).cast("double"))
@@ -118,5 +123,5 @@ def sliding_hampel(df: DataFrame, hours: float = 1.0, value: str = "vod", by: Se
         found = _sliding(table["t_"].to_pylist(), table["v_"].to_pylist(), reach, threshold, min_points)
         return pa.table({"row_": table["row_"], "is_outlier": pa.array(found, pa.bool_())}).filter(table["row_"].is_valid())
 
-    seen = spread.groupBy(*keys).applyInArrow(sweep, kind).select("row_.*", "is_outlier")
+    seen = spread.groupBy(*keys).applyInArrow(sweep, kind).select("row_.*", "is_outlier").unionByName(apart)
     return seen.withColumn(f"{value}_filtered", F.when(~F.col("is_outlier"), F.col(value)))

@@ -9,9 +9,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leafray.operators.grids import solid_angle
+from leafray.operators.topology import voronoi
 
 
 def area(grid: DataFrame, kind: str = "equal_area", cells: int | None = None) -> DataFrame:
+    """Solid angles; those of the Voronoi cells for a Fibonacci grid."""
+    if kind == "fibonacci":
+        return voronoi(grid).select("cell_id", F.col("solid_angle").alias("weight"))
     return grid.select("cell_id", solid_angle(kind, cells).alias("weight"))
 
 

@@ -8,6 +8,7 @@ of one receiver.
 
 from __future__ import annotations
 
+import binascii
 import struct
 from collections.abc import Iterator
 
@@ -45,12 +46,7 @@ _DOUBLES = ("lat", "lon", "height", "pdop", "hdop", "vdop")
 
 def crc(data: bytes) -> int:
     """CRC-16 of the CCITT polynomial, from 0."""
-    c = 0
-    for b in data:
-        c ^= b << 8
-        for _ in range(8):
-            c = (c << 1 ^ 0x1021 if c & 0x8000 else c << 1) & 0xFFFF
-    return c
+    return binascii.crc_hqx(data, 0)
 
 
 def blocks(data: bytes) -> Iterator[tuple[int, bytes]]:
