@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from leafray.functions.columns import ratio
 from leafray.operators.ordered import exact_quantiles
+from leafray.sources.scratch import written
 
 # Tier, largest difference, mean difference, difference of missing rates.
 TIERS = [("exact", 0.0, 0.0, 0.0), ("numerical", 1e-6, 1e-10, 0.0), ("scientific", 0.01, 0.01, 0.0)]
@@ -27,12 +28,16 @@ SCIENTIFIC = [
 
 
 def compare(a: DataFrame, b: DataFrame, variables: Sequence[str], keys: Sequence[str] = ("epoch", "sid"), by: Sequence[str] = ()) -> DataFrame:
-    """One row per variable, and group of ``by``, over the rows that both have: counts, largest, RMSE, MAE, bias, correlation, quantiles, missing rates."""
+    """One row per variable, and group of ``by``, over the rows that both have: counts, largest, RMSE, MAE, bias, correlation, quantiles, missing rates.
+
+    The join is written to the shared folder once: statistics and both passes of
+    the quantiles read the pairs from there, instead of joining anew.
+    """
     keys = [*by, *[k for k in keys if k not in by]]
     right = b.select(*keys, *[F.col(v).alias(f"{v}_b") for v in variables])
     both = a.select(*keys, *variables).join(right, list(keys))
     pairs = F.explode(F.array(*[F.struct(F.lit(v).alias("variable"), F.col(v).cast("double").alias("a"), F.col(f"{v}_b").cast("double").alias("b")) for v in variables]))
-    p = both.select(*by, pairs.alias("p")).select(*by, "p.*")
+    p = written(both.select(*by, pairs.alias("p")).select(*by, "p.*"), "pairs")
     d = F.col("a") - F.col("b")
     n = F.count(d)
     out = p.groupBy(*by, "variable").agg(

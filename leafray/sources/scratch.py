@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -18,3 +18,10 @@ def shared_folder(spark: SparkSession, name: str) -> str:
         base = tempfile.mkdtemp(prefix="leafray-")
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/leafray-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a new shared folder and read back: what follows doesn't compute it again, and a lost executor loses nothing."""
+    path = shared_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

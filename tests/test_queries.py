@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from leafray.plans import registry, workflows  # noqa: F401
+from leafray.plans import files, registry, sky, workflows  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events embeddings".split()
