@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from leafray.functions import gnss
 from leafray.operators import joins, signals
+from leafray.sources.scratch import shared_folder
 
 # Block numbers.
 MEAS_EPOCH, CHANNEL_STATUS, SAT_VISIBILITY, PVT_GEODETIC, DOP, RECEIVER_TIME = 4027, 4013, 4012, 4007, 4001, 5914
@@ -124,6 +125,24 @@ def read_blocks(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, _RAW)
 
 
+#: Blocks that observations need, and those that metadata need; times come from measurements and receiver times.
+OF_OBSERVATIONS = (MEAS_EPOCH, CHANNEL_STATUS, RECEIVER_TIME)
+OF_METADATA = (PVT_GEODETIC, DOP, SAT_VISIBILITY, MEAS_EPOCH, RECEIVER_TIME)
+
+
+def store_blocks(spark: SparkSession, path: str, folder: str) -> DataFrame:
+    """Raw rows of all files at ``path``, decoded once and kept in ``folder`` by kind of block; what reads them skips the kinds that it doesn't need."""
+    names = read_blocks(spark, path).columns
+    read_blocks(spark, path).write.mode("overwrite").partitionBy("block").parquet(folder)
+    return spark.read.schema(_RAW).parquet(folder).select(*names)
+
+
+def outputs(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Observations, and metadata per epoch and per satellite, from one pass over the files."""
+    raw = store_blocks(spark, path, shared_folder(spark, "blocks"))
+    return observations(spark, raw), *metadata(spark, raw)
+
+
 def _timed(raw: DataFrame) -> DataFrame:
     """Adds ``epoch`` in UTC, by the leap seconds last said in the file."""
     said = F.last("leap", ignorenulls=True).over(Window.partitionBy("file").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0))
@@ -143,6 +162,7 @@ def observations(spark: SparkSession, raw: DataFrame) -> DataFrame:
     that a channel status of the file tells; without it phase is null, and so
     are all second signals of a first one without frequency, range or doppler.
     """
+    raw = raw.where(F.col("block").isin(*OF_OBSERVATIONS))
     slots = raw.where((F.col("block") == CHANNEL_STATUS) & (F.col("svid") != 0)).groupBy("file", "svid").agg(F.max_by("freq_nr", "seq").alias("slot"))
     table = spark.createDataFrame(SIGNALS, "number int, of string, band string, code string")
     centre = spark.createDataFrame([(s, b, f) for s, b, f, *_ in signals.BANDS if b not in ("G1", "G2")] + [("C", "B2I", 1207.14)], "of string, band string, fixed double")
@@ -170,6 +190,7 @@ def metadata(spark: SparkSession, raw: DataFrame) -> tuple[DataFrame, DataFrame]
     the time of the next one in its file; what follows the last one goes.
     """
     after = Window.partitionBy("file").orderBy(F.desc("seq")).rowsBetween(Window.unboundedPreceding, 0)
+    raw = raw.where(F.col("block").isin(*OF_METADATA))
     t = _timed(raw).withColumn("epoch", F.last(F.when(F.col("block") == MEAS_EPOCH, F.col("epoch")), ignorenulls=True).over(after)).where("epoch is not null")
     of_epoch = t.where(F.col("block").isin(PVT_GEODETIC, DOP)).groupBy("file", "epoch").agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), F.col("seq"))).alias(c) for c in _DOUBLES])
     seen = _satellites(spark, t.where((F.col("block") == SAT_VISIBILITY) & (F.col("azimuth") != 65535) & (F.col("elevation") != -32768)))

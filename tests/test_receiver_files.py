@@ -2,6 +2,7 @@
 
 import datetime as dt
 import math
+import os
 import struct
 
 import pytest
@@ -69,6 +70,21 @@ def test_binary_metadata(spark, file):
     assert [(x.sv, round(x.theta, 6), round(x.phi, 6)) for x in s] == [("G05", round(math.radians(60), 6), round(math.pi / 2, 6))]
 
 
+def test_one_pass_for_both_outputs(spark, file):
+    """Files are decoded once: both outputs come from the stored blocks, of which they read their own kinds only."""
+    rows = lambda d: sorted(map(str, d.collect()))
+    raw = sbf.read_blocks(spark, file)
+    want = [rows(d) for d in (sbf.observations(spark, raw), *sbf.metadata(spark, raw))]
+    found = sbf.outputs(spark, file)
+    os.remove(file)
+    assert [rows(d) for d in found] == want and all(want)
+    for d, kinds in zip(found, (sbf.OF_OBSERVATIONS, sbf.OF_METADATA, sbf.OF_METADATA)):
+        plan = d._jdf.queryExecution().executedPlan().toString()
+        assert "binaryFile" not in plan and "PartitionFilters: [block" in plan
+        files = {f for f in d.inputFiles()}
+        assert files and str(sbf.MEAS_EPOCH) in plan and all(str(k) in plan for k in kinds)
+
+
 def test_rinex2(spark, tmp_path):
     kinds = "     7    C1    L1    P2    L2    D1    S1    S2"
     cell = lambda v, tail="  ": f"{v:14.3f}{tail}" if v is not None else " " * 16
