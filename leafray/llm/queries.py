@@ -14,10 +14,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to the production weights: what each contributes of its tokens."""
     return mixing.select_tokens(spark, _table(spark, sf_dir, "documents"), **mixing_queries.production()).drop("print")
 
 
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of near copies among all documents."""
     marked = minhash.near_copies(spark, _table(spark, sf_dir, "documents"))
     return marked.select("doc_id", "n_shingles", "component_id", "kept")
 
@@ -37,34 +39,41 @@ def op3_backoff_trigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A toxicity score of every document, learned from the labels of the training fold."""
     return toxicity.scored(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text encoded, and decoded again."""
     return bpe.round_trip(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every text."""
     counted = token_counts.count_tokens(spark, _table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
     return counted.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quality score of every document, learned from the labels of the training fold."""
     return quality.scored(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of every document when passages that a smaller doc_id has go."""
     found = substring_dedup.remove_repeats(spark, _table(spark, sf_dir, "documents"))
     sha = F.coalesce(F.sha2("kept_text", 256), F.lower(F.hex("joined_sha")))
     return found.select("doc_id", "n_words", "n_removed", sha.alias("kept_sha256"))
 
 
 def op9_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of near copies among all vectors of equal label."""
     found = hnsw.near_vectors(spark, _table(spark, sf_dir, "embeddings"))
     return found.select("vec_id", "n_links", "component_id", "kept", (F.col("recall") >= 0.99).alias("recall_passed"))
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of equal texts among all documents."""
     marked = exact_dedup.copies(spark, _table(spark, sf_dir, "documents"))
     return marked.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
