@@ -7,11 +7,13 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from leafray.functions import gnss
 from leafray.functions.columns import micros
-from leafray.operators import headers, signals
+from leafray.operators import headers, periods, signals
 from leafray.plans import adapters as A
+from leafray.plans import sky
 from leafray.plans.registry import query
-from leafray.sources import rinex3
+from leafray.sources import rinex3, text
 from leafray.sources.scratch import shared_folder
 
 
@@ -21,8 +23,8 @@ def write_lines(rows: DataFrame, path: str) -> str:
     return path
 
 
-def labelled(text: Column, label: str) -> Column:
-    return F.concat(F.rpad(text, 60, " "), F.lit(label))
+def labelled(value: Column, label: str) -> Column:
+    return F.concat(F.rpad(value, 60, " "), F.lit(label))
 
 
 #: Events as the observations of two receivers in epochs of ten minutes; cents keep all values decimal.
@@ -124,3 +126,90 @@ def _(spark, sf):
     h = rinex3.read_headers(spark, write_rinex3(spark, sf))
     found = rinex3.file_signals(h, signals.SATELLITES).join(h.select("file", F.col("marker_name").alias("receiver")), "file")
     return found.groupBy("receiver", "sv", "sid").agg(F.count(F.lit(1)).alias("days"))
+
+
+# --- line-based products -----------------------------------------------------------
+
+_BOTH = "both_ AS (SELECT k, s || lpad(prn::VARCHAR, 2, '0') AS sv, max(cents) AS cents FROM rx GROUP BY ALL)"
+
+
+def _satellites(spark: SparkSession, sf: str) -> DataFrame:
+    """file (the day), k, sv, cents and the time of the epoch."""
+    sv = F.concat("s", F.lpad(F.col("prn").cast("string"), 2, "0"))
+    rows = rinex_rows(spark, sf).groupBy("k", sv.alias("sv")).agg(F.max("cents").alias("cents"))
+    return rows.select(F.floor(F.col("k") / 144).cast("string").alias("file"), "k", "sv", "cents", F.timestamp_micros(F.col("k") * 600_000_000).cast("timestamp_ntz").alias("epoch"))
+
+
+@query(
+    "sp3_files",
+    "SELECT to_timestamp(k * 600)::TIMESTAMP AS epoch, sv, CASE WHEN cents % 7 <> 0 THEN cents::DOUBLE / 1000 * 1000 END AS x, -cents::DOUBLE / 1000 * 1000 AS y, (cents + 1)::DOUBLE / 1000 * 1000 AS z FROM both_",
+    _EVENTS + ", " + _BOTH,
+)
+def _(spark, sf):
+    """Orbit files of a day each, written from the events; some coordinates are missing."""
+    rows = _satellites(spark, sf)
+    km = lambda c: F.format_string("%14.6f", c.cast("double") / 1000)
+    x = F.when(F.col("cents") % 7 == 0, F.lit(" 999999.999999")).otherwise(km(F.col("cents")))
+    order = F.xxhash64("sv").bitwiseAND(1023)
+    points = rows.select("file", (F.col("k") * 2048 + 1 + order).alias("place"), F.concat(F.lit("P"), F.col("sv"), x, km(-F.col("cents")), km(F.col("cents") + 1), F.lit(" 999999.999999")).alias("line"))
+    marks = rows.select("file", (F.col("k") * 2048).alias("place"), F.date_format("epoch", "'*  'yyyy MM dd HH mm'  0.00000000'").alias("line")).distinct()
+    path = write_lines(points.unionByName(marks), shared_folder(spark, "sp3"))
+    return text.read_sp3(spark, path)
+
+
+@query("clk_files", "SELECT to_timestamp(k * 600)::TIMESTAMP AS epoch, sv, round(cents::DOUBLE / 1e6, 9) AS clock FROM both_", _EVENTS + ", " + _BOTH)
+def _(spark, sf):
+    """Clock files; every other record is said twice, of which the last counts."""
+    rows = _satellites(spark, sf).withColumn("time", F.explode(F.when(F.col("cents") % 2 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(1)))))
+    value = F.format_string("%19.12f", F.when(F.col("time") == 1, F.col("cents").cast("double") / 1e6).otherwise(F.lit(9.0)))
+    line = F.concat(F.lit("AS "), F.col("sv"), F.date_format("epoch", "'  'yyyy MM dd HH mm'  0.000000  2  '"), value)
+    place = (F.col("k") * 2048 + F.xxhash64("sv").bitwiseAND(1023)) * 2 + F.col("time")
+    found = text.read_clk(spark, write_lines(rows.select("file", place.alias("place"), line.alias("line")), shared_folder(spark, "clk")))
+    return found.select("epoch", "sv", F.round("clock", 9).alias("clock"))
+
+
+@query(
+    "nmea_files",
+    """SELECT receiver, k // 144 AS day, (k % 144 * 600)::DOUBLE AS epoch, s || lpad(prn::VARCHAR, 2, '0') AS sv, CASE WHEN cents % 5 <> 0 THEN (cents % 60)::DOUBLE END AS snr FROM rx WHERE cents % 11 <> 0""",
+    _EVENTS,
+)
+def _(spark, sf):
+    """Logs of NMEA sentences, one per receiver and day; some check sums are wrong, some strengths missing."""
+    rows = rinex_rows(spark, sf).withColumn("day", F.floor(F.col("k") / 144)).withColumn("file", F.concat_ws("_", "receiver", F.col("day").cast("string")))
+    checked = lambda body, wrong=F.lit(False): F.concat(F.lit("$"), body, F.lit("*"), F.when(wrong, "ZZ").otherwise(gnss.nmea_checksum(body)))
+    when = F.timestamp_micros(F.col("k") * 600_000_000).cast("timestamp_ntz")
+    stamp = checked(F.concat(F.lit("GPRMC,"), F.date_format(when, "HHmmss'.00'"), F.lit(",A,4740.0,N,01618.0,E,0,0,010124,,")))
+    marks = rows.select("file", (F.col("k") * 100).alias("place"), stamp.alias("line")).distinct()
+    talker = F.when(F.col("s") == "G", "GP").when(F.col("s") == "E", "GA").otherwise("GL")
+    number = F.col("prn") + F.when(F.col("s") == "R", 64).otherwise(0)
+    strength = F.when(F.col("cents") % 5 == 0, "").otherwise((F.col("cents") % 60).cast("string"))
+    view = checked(F.concat(talker, F.lit("GSV,1,1,01,"), F.lpad(number.cast("string"), 2, "0"), F.lit(",40,083,"), strength), F.col("cents") % 11 == 0)
+    seen = rows.select("file", (F.col("k") * 100 + 1 + F.col("prn") + F.when(F.col("s") == "G", 0).when(F.col("s") == "E", 20).otherwise(40)).alias("place"), view.alias("line"))
+    found = text.read_nmea(spark, write_lines(marks.unionByName(seen), shared_folder(spark, "nmea")))
+    folder = F.regexp_extract("file", "file=([^/]*)/", 1)
+    return found.select(F.regexp_extract(folder, r"^(.*)_\d+$", 1).alias("receiver"), F.regexp_extract(folder, r"_(\d+)$", 1).cast("long").alias("day"), "epoch", "sv", "snr")
+
+
+@query(
+    "sinex_periods",
+    """SELECT 'S' || lpad(cust::VARCHAR, 9, '0') AS svn, a::TIMESTAMP AS start, b::TIMESTAMP AS "end", CASE WHEN x THEN substr(xv, 1, 1) END AS prn, CASE WHEN y THEN round(yv::DOUBLE, 2) END AS mass_kg, CASE WHEN z THEN zv::INTEGER END AS channel
+    FROM (SELECT *, xa IS NOT NULL AND (xb IS NULL OR xb > a) AS x, ya IS NOT NULL AND (yb IS NULL OR yb > a) AS y, za IS NOT NULL AS z FROM last_) WHERE x OR y OR z""",
+    sky.PERIODS,
+)
+def _(spark, sf):
+    """A satellite catalogue written from the orders, read as typed tables and put on one time line."""
+    turns, stays, open_ = sky.order_periods(spark, sf)
+    svn = F.concat(F.lit("S"), F.lpad(F.col("cust").cast("string"), 9, "0"))
+    day = lambda c: F.coalesce(F.date_format(c, "yyyy:DDD:'00000'"), F.lit("0000:000:00000"))
+    file = (F.col("cust") % 16).cast("string").alias("file")
+
+    def block(rows: DataFrame, name: str, value: Column, place: int) -> DataFrame:
+        body = rows.select(file, (F.lit(place) + F.col("cust")).alias("place"), F.concat_ws(" ", F.lit(""), svn, day("start"), day("end"), value).alias("line"))
+        edge = lambda sign, at: rows.select(file).distinct().select("file", F.lit(at).alias("place"), F.lit(f"{sign}SATELLITE/{name}").alias("line"))
+        return edge("+", place - 1).unionByName(body).unionByName(edge("-", place + 10**12))
+
+    lines = block(turns, "PRN", F.substring("priority", 1, 1), 10**13)
+    lines = lines.unionByName(block(stays, "MASS", F.format_string("%.2f", F.col("price").cast("double")), 2 * 10**13))
+    lines = lines.unionByName(block(open_, "FREQUENCY_CHANNEL", F.col("orders").cast("string"), 3 * 10**13))
+    tables = periods.catalog(text.numbered_lines(spark, write_lines(lines, shared_folder(spark, "sinex"))))
+    return periods.timeline({n: tables[n] for n in ("prn", "mass", "frequency_channel")}, "svn")

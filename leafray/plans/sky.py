@@ -1,11 +1,11 @@
-"""Queries of grid neighbours, stored masks and period tables."""
+"""Queries of grid neighbours, stored masks, period tables and metadata documents."""
 
 from __future__ import annotations
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from leafray.operators import bitmaps, filters, periods, topology
+from leafray.operators import bitmaps, documents, filters, periods, topology
 from leafray.plans import adapters as A
 from leafray.plans import registry as R
 from leafray.plans.registry import query, r, rounded
@@ -47,7 +47,7 @@ def _(spark, sf):
 
 
 #: Three kinds of periods of each customer: from order to order, forty days from a finished order on, and open ends.
-_PERIODS = """
+PERIODS = """
 po AS (SELECT o_custkey AS cust, o_orderdate::DATE AS d, min(o_orderpriority) AS priority, max(o_totalprice) AS price, bool_or(o_orderstatus = 'F') AS finished FROM orders GROUP BY ALL),
 pa AS (SELECT cust, d AS a, lead(d) OVER (PARTITION BY cust ORDER BY d) AS b, priority AS v FROM po),
 pb AS (SELECT cust, d AS a, d + 40 AS b, price AS v FROM po WHERE finished),
@@ -58,17 +58,68 @@ last_ AS (SELECT seg.cust, seg.a, seg.b, x.a AS xa, x.b AS xb, x.v AS xv, y.a AS
     FROM seg ASOF LEFT JOIN pa x ON x.cust = seg.cust AND x.a <= seg.a ASOF LEFT JOIN pb y ON y.cust = seg.cust AND y.a <= seg.a ASOF LEFT JOIN pc z ON z.cust = seg.cust AND z.a <= seg.a)"""
 
 
+def order_periods(spark, sf):
+    o = A.table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("cust"), F.col("o_orderdate").cast("date").alias("start"))
+    o = o.agg(F.min("o_orderpriority").alias("priority"), F.max("o_totalprice").alias("price"), F.bool_or(F.col("o_orderstatus") == "F").alias("finished"))
+    turns = o.select("cust", "start", F.lead("start").over(Window.partitionBy("cust").orderBy("start")).alias("end"), "priority")
+    stays = o.where("finished").select("cust", "start", F.date_add("start", 40).alias("end"), "price")
+    open_ = o.where("price > 200000").groupBy("cust").agg(F.min("start").alias("start"), F.count(F.lit(1)).alias("orders")).withColumn("end", F.lit(None).cast("date"))
+    return turns, stays, open_
+
+
 @query(
     "period_timeline",
     """SELECT cust, a AS start, b AS "end", CASE WHEN x THEN xv END AS priority, CASE WHEN y THEN yv END AS price, CASE WHEN z THEN zv END AS orders
     FROM (SELECT *, xa IS NOT NULL AND (xb IS NULL OR xb > a) AS x, ya IS NOT NULL AND (yb IS NULL OR yb > a) AS y, za IS NOT NULL AS z FROM last_) WHERE x OR y OR z""",
-    _PERIODS,
+    PERIODS,
 )
 def _(spark, sf):
     """Three period tables with gaps, overlaps and open ends, cut at the union of their ends."""
-    o = A.table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("cust"), F.col("o_orderdate").cast("date").alias("start"))
-    o = o.agg(F.min("o_orderpriority").alias("priority"), F.max("o_totalprice").alias("price"), F.bool_or(F.col("o_orderstatus") == "F").alias("finished"))
-    turns = o.select("cust", "start", F.lead("start").over(Window.partitionBy("cust").orderBy("start")).alias("end"), "priority")
-    stays = o.where("finished").select("cust", "start", F.date_add("start", 40).alias("end"), "price")
-    open_ = o.where("price > 200000").groupBy("cust").agg(F.min("start").alias("start"), F.count(F.lit(1)).alias("orders")).withColumn("end", F.lit(None).cast("date"))
+    turns, stays, open_ = order_periods(spark, sf)
     return periods.timeline({"turns": turns, "stays": stays, "open": open_}, "cust")
+
+
+#: Events as updates of their user's document; what an event says depends on its kind.
+_UPDATES = """
+up AS (SELECT user_id, epoch_us(ts)::HUGEINT * 1000000000 + event_id AS at_, event_type AS t, event_id AS e, (props->>'k')::INTEGER AS k FROM events),
+doc AS (SELECT user_id, arg_max(t, at_) FILTER (t IN ('view', 'click')) AS title, arg_max(k, at_) AS k, max(at_) FILTER (t = 'purchase') AS bought,
+  arg_max(e % 90, at_) FILTER (t = 'purchase') AS lat, nullif(arg_max(CASE WHEN e % 2 = 0 THEN 'CC-BY-4.0' ELSE '' END, at_) FILTER (t = 'error'), '') AS license,
+  arg_max(e % 3, at_) FILTER (t NOT IN ('view', 'click', 'purchase', 'error')) AS shape, count(*) AS n FROM up GROUP BY 1)"""
+
+
+def _documents(spark, sf):
+    e = A.table(spark, sf, "events")
+    at = F.struct("ts", "event_id")
+    kind, n = F.col("event_type"), F.col("event_id")
+    said = (
+        F.when(kind.isin("view", "click"), F.format_string('"identity": {"title": "%s"}', kind))
+        .when(kind == "purchase", F.format_string('"spatial": {"geospatial_lat": %d}', n % 90))
+        .when(kind == "error", F.when(n % 2 == 0, F.lit('"publisher": {"license": "CC-BY-4.0"}')).otherwise(F.lit('"publisher": {"license": null}')))
+        # a value, an object or an empty list in the same place
+        .otherwise(F.when(n % 3 == 0, F.lit('"references": "none"')).when(n % 3 == 1, F.lit('"references": {"access_url": "x"}')).otherwise(F.lit('"references": {"access_url": ""}')))
+    )
+    docs = e.select("user_id", at.alias("at"), F.format_string('{"props": %s, %s}', F.col("props"), said).alias("document"))
+    return documents.merged(docs, "user_id", "at")
+
+
+@query("document_merge", "SELECT user_id, title, k, lat::DOUBLE AS lat, license, CASE WHEN shape = 0 THEN 'none' END AS reference, CASE shape WHEN 1 THEN 'x' WHEN 2 THEN '' END AS access_url FROM doc", _UPDATES)
+def _(spark, sf):
+    """Each user's document, merged from all updates by dotted path; a value replaces an object, and an object a value."""
+    d = _documents(spark, sf)
+    own = lambda path: F.try_variant_get(F.try_parse_json(F.col("fields")[path]), "$", "string")
+    seen = documents.inventory(d, "user_id").select("user_id", "title", "lat", "license")
+    other = d.select(F.col("user_id").alias("u"), own("props.k").cast("int").alias("k"), own("references").alias("reference"), own("references.access_url").alias("access_url"))
+    return seen.join(other, F.col("user_id") == F.col("u")).drop("u")
+
+
+@query(
+    "document_issues",
+    """SELECT user_id, 7 - (title IS NOT NULL)::INTEGER AS datacite, 11 - (title IS NOT NULL)::INTEGER - (lat IS NOT NULL)::INTEGER AS acdd,
+    6 - (title IS NOT NULL)::INTEGER - (license IS NOT NULL)::INTEGER AS stac, 10 - (license IS NOT NULL)::INTEGER - coalesce(shape = 1, false)::INTEGER AS fair FROM doc""",
+    _UPDATES,
+)
+def _(spark, sf):
+    """Rules of four standards that each user's document doesn't meet."""
+    broken = documents.issues(_documents(spark, sf))
+    of = lambda s: F.size(F.filter("issues", lambda i: i["standard"] == s)).alias(s)
+    return broken.select("user_id", *[of(s) for s in ("datacite", "acdd", "stac", "fair")])
