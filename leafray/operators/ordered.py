@@ -45,8 +45,9 @@ def around(knots: DataFrame, targets: DataFrame, keys: Sequence[str], time: str,
 def exact_quantiles(df: DataFrame, value: Column, probabilities: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
     """Linear quantiles of the non-null values per group (few groups with many rows): ``by`` and the array ``q``.
 
-    A mergeable sketch brackets each rank; a second pass counts the values below
-    the bracket and those inside it, of which only the wanted rank is read off.
+    A mergeable sketch brackets each rank; a second pass counts, in one
+    aggregation, the values below the bracket and those inside it, of which only
+    the wanted rank is read off.
     So no task holds a group's values; the bracket has about 4 / ACCURACY of its
     rows, counted by value; of no more than 10 ACCURACY values it has all.
     Without groups, an empty table gives an empty array.
@@ -63,12 +64,10 @@ def exact_quantiles(df: DataFrame, value: Column, probabilities: Sequence[float]
         brackets.append(F.struct(F.lit(i).alias("i"), low.alias("low"), high.alias("high"), (F.lit(p) * (F.col("n_") - 1)).alias("rank")))
     known = sketch.select(*[F.col(b).alias(f"{b}_g") for b in by], F.array(*brackets).alias("b_"))
     met = x.join(known, _same(by, "_g")) if by else x.join(F.broadcast(known))
-    below = met.groupBy(*by).agg(F.array(*[F.count_if(F.col("v_") < F.col("b_")[i]["low"]) for i in range(len(probabilities))]).alias("below_"))
-    inside = met.select(*by, "v_", F.explode(F.filter("b_", lambda b: (F.col("v_") >= b["low"]) & (F.col("v_") <= b["high"]))).alias("b_"))
-    inside = inside.groupBy(*by, "b_", "v_").agg(F.count(F.lit(1)).alias("c_"))
-    below = below.withColumnsRenamed({b: f"{b}_g" for b in by})
-    inside = inside.join(below, _same(by, "_g")) if by else inside.join(F.broadcast(below))
-    upto = F.sum("c_").over(Window.partitionBy(*by, "b_").orderBy("v_").rowsBetween(Window.unboundedPreceding, 0)) + F.col("below_")[F.col("b_.i")]
+    # values below a bracket count as null, which comes first in order; those above it don't count
+    upto_high = F.transform(F.filter("b_", lambda b: F.col("v_") <= b["high"]), lambda b: F.struct(b.alias("b"), F.when(F.col("v_") >= b["low"], F.col("v_")).alias("v")))
+    inside = met.select(*by, F.explode(upto_high).alias("e_")).groupBy(*by, F.col("e_.b").alias("b_"), F.col("e_.v").alias("v_")).agg(F.count(F.lit(1)).alias("c_"))
+    upto = F.sum("c_").over(Window.partitionBy(*by, "b_").orderBy("v_").rowsBetween(Window.unboundedPreceding, 0))
     at = lambda rank: F.min(F.when(F.col("upto_") > rank(F.col("b_.rank")), F.col("v_")))
     found = inside.withColumn("upto_", upto).groupBy(*by, "b_").agg(at(F.floor).alias("lo_"), at(F.ceil).alias("hi_"))
     share = F.col("b_.rank") - F.floor("b_.rank")
