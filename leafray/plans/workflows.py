@@ -305,3 +305,18 @@ for _n, (_how, _sql) in _GRIDS.items():
         """Observations by the nearest centre of another kind of grid."""
         v = grids.assign_cells(A.depth(spark, sf), grids.create(spark, kind, **how), 0.3)
         return rounded(v.groupBy("cell_id").agg(F.count(F.lit(1)).alias("n"), F.avg("vod").alias("mean")))
+
+
+@query(
+    "linear_interp",
+    """SELECT event_id, round(CASE WHEN e.t = k.t THEN k.x WHEN k.h IS NOT NULL THEN k.x + (e.t - k.t) / k.h * (k.x1 - k.x) END, 0) + 0.0 AS x,
+    round(CASE WHEN e.t = k.t THEN k.z WHEN k.h IS NOT NULL THEN k.z + (e.t - k.t) / k.h * (k.z1 - k.z) END, 0) + 0.0 AS z FROM tg e ASOF LEFT JOIN kn k ON e.sv = k.sv AND e.t >= k.t""",
+    R._ORBIT
+    + """, kn AS (SELECT sv, t, x, z, lead(t) OVER w - t AS h, lead(x) OVER w AS x1, lead(z) OVER w AS z1 FROM ob WINDOW w AS (PARTITION BY sv ORDER BY t)),
+    tg AS (SELECT event_id, user_id % 8 AS sv, floor(epoch_us(ts) / 1e6) AS t FROM events)""",
+)
+def _(spark, sf):
+    """Positions of all events by straight lines between the knots; after the last knot there is none."""
+    targets = A.table(spark, sf, "events").select((F.col("user_id") % 8).alias("sv"), F.col("ts").alias("epoch"), "event_id")
+    met = interpolate.linear(R._orbits(spark, sf), targets.select("sv", "epoch").distinct(), axes=["x", "z"])
+    return targets.join(met, ["sv", "epoch"], "left").select("event_id", *[(F.round(c, 0) + 0.0).alias(c) for c in ("x", "z")])
