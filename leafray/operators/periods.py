@@ -26,7 +26,8 @@ def timeline(tables: dict[str, DataFrame], key: str, start: str = "start", end:
     an open one last of all. Stretches in which no table has a period are left out, those
     without key or start are no periods, and neighbouring stretches stay apart
     where any table has an end. All tables meet in one union and one window over the key, however
-    many there are.
+    many there are; tables that come dealt by the key into equally many
+    partitions aren't shuffled again, so the caller can bound what a task takes.
     """
     events, names = None, {}
     for name, df in tables.items():
@@ -34,14 +35,15 @@ def timeline(tables: dict[str, DataFrame], key: str, start: str = "start", end:
         known = df.where(F.col(key).isNotNull() & F.col(start).isNotNull() & (F.col(end).isNull() | (F.col(end) > F.col(start))))
         rank = Window.partitionBy(key, start).orderBy(F.desc_nulls_first(end), *names[name])
         known = known.withColumn("n_", F.row_number().over(rank)).where("n_ = 1")
-        begins = known.select(F.col(key), F.col(start).alias("at_"), F.struct(F.col(end).alias("end"), F.struct(*names[name]).alias("own")).alias(f"p_{name}"))
-        ends = known.where(F.col(end).isNotNull()).select(F.col(key), F.col(end).alias("at_"))
-        both = begins.unionByName(ends, allowMissingColumns=True)
+        # each period is a row where it begins and an empty one where it ends
+        both = known.select(key, end, *names[name], F.posexplode(F.array(start, end)).alias("place_", "at_")).where("at_ is not null")
+        both = both.select(key, "at_", F.when(F.col("place_") == 0, F.struct(F.col(end).alias("end"), F.struct(*names[name]).alias("own"))).alias(f"p_{name}"))
         events = both if events is None else events.unionByName(both, allowMissingColumns=True)
-    moments = events.groupBy(key, "at_").agg(*[F.max(f"p_{n}").alias(f"p_{n}") for n in names])
     order = Window.partitionBy(key).orderBy("at_")
     so_far = order.rowsBetween(Window.unboundedPreceding, 0)
-    out = moments.select(key, F.col("at_").alias(start), F.lead("at_").over(order).alias(end), *[F.last(f"p_{n}", ignorenulls=True).over(so_far).alias(f"p_{n}") for n in names])
+    out = events.select(key, F.col("at_").alias(start), F.lead("at_").over(order).alias(end), *[F.last(f"p_{n}", ignorenulls=True).over(so_far).alias(f"p_{n}") for n in names])
+    # of the rows of one moment the last has met them all
+    out = out.where(F.col(end).isNull() | (F.col(end) > F.col(start)))
     holds = {n: F.coalesce(F.col(f"p_{n}.end").isNull() | (F.col(f"p_{n}.end") > F.col(start)), F.lit(False)) & F.col(f"p_{n}").isNotNull() for n in names}
     any_ = None
     for h in holds.values():

@@ -58,9 +58,19 @@ last_ AS (SELECT seg.cust, seg.a, seg.b, x.a AS xa, x.b AS xb, x.v AS xv, y.a AS
     FROM seg ASOF LEFT JOIN pa x ON x.cust = seg.cust AND x.a <= seg.a ASOF LEFT JOIN pb y ON y.cust = seg.cust AND y.a <= seg.a ASOF LEFT JOIN pc z ON z.cust = seg.cust AND z.a <= seg.a)"""
 
 
+#: Orders that a task takes where they are dealt by customer.
+PART = 100_000
+
+
+def order_parts(spark, sf) -> int:
+    return 1 + A.table(spark, sf, "orders").count() // PART
+
+
 def order_periods(spark, sf):
+    """The three tables, dealt by customer into as many partitions as the number of orders asks for."""
     o = A.table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("cust"), F.col("o_orderdate").cast("date").alias("start"))
     o = o.agg(F.min("o_orderpriority").alias("priority"), F.max("o_totalprice").alias("price"), F.bool_or(F.col("o_orderstatus") == "F").alias("finished"))
+    o = o.repartition(order_parts(spark, sf), "cust")
     turns = o.select("cust", "start", F.lead("start").over(Window.partitionBy("cust").orderBy("start")).alias("end"), "priority")
     stays = o.where("finished").select("cust", "start", F.date_add("start", 40).alias("end"), "price")
     open_ = o.where("price > 200000").groupBy("cust").agg(F.min("start").alias("start"), F.count(F.lit(1)).alias("orders")).withColumn("end", F.lit(None).cast("date"))
