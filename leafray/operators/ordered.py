@@ -1,4 +1,4 @@
-"""Neighbours in time and exact quantiles, in linear passes that spread over tasks."""
+"""Neighbours in time, marks that hold for the lines below them and exact quantiles, in linear passes that spread over tasks."""
 
 from __future__ import annotations
 
@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: Ranks that a quantile sketch may be off, as a share of all rows, is one in this many.
 ACCURACY = 10_000
+#: Lines whose marks are listed together.
+STRETCH = 4096
 
 
 def _same(keys: Sequence[str], tag: str) -> Column:
@@ -42,6 +44,30 @@ def around(knots: DataFrame, targets: DataFrame, keys: Sequence[str], time: str,
     return met.select("row_.*", F.coalesce("before_", "earlier_").alias("before_"), F.coalesce("after_", "later_").alias("after_"))
 
 
+def last_said(lines: DataFrame, mark: Column, name: str) -> DataFrame:
+    """``lines`` with ``name``: the last non-null ``mark`` at or before each line of its file; for few marks in many lines.
+
+    ``lines`` have file and line (start, row), as ``text.numbered_lines`` gives
+    them. Each stretch of rows lists its marks and the last one before it, and
+    its lines take theirs from the list. So a file spreads over tasks; only one
+    row per stretch goes through a window over the file.
+    """
+    row = F.col("line.row")
+    stretch = F.floor(row / STRETCH)
+    place = ["file", F.col("line.start").alias("start_"), stretch.alias("stretch_")]
+    marks = lines.select(*place, F.struct(row.alias("row"), mark.alias("mark")).alias("said_")).where("said_.mark is not null")
+    parts = lines.groupBy(*place).agg(F.min("line.row").alias("first_")).unionByName(marks, allowMissingColumns=True)
+    parts = parts.groupBy("file", "start_", "stretch_").agg(F.min("first_").alias("first_"), F.array_sort(F.collect_list("said_")).alias("said_"))
+    before = Window.partitionBy("file").orderBy("start_", "stretch_").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("earlier_", F.last(F.try_element_at("said_", F.lit(-1))["mark"], ignorenulls=True).over(before))
+    # rows count on over all files, so a stretch may have the end of one and the beginning of another
+    lists = parts.groupBy("stretch_").agg(F.array_sort(F.collect_list(F.struct("first_", "earlier_", "said_"))).alias("parts_"))
+    met = lines.withColumn("stretch_", stretch).join(lists, "stretch_")
+    own = F.try_element_at(F.filter("parts_", lambda p: p["first_"] <= row), F.lit(-1))
+    said = F.try_element_at(F.filter(own["said_"], lambda m: m["row"] <= row), F.lit(-1))
+    return met.select(*lines.columns, F.coalesce(said["mark"], own["earlier_"]).alias(name))
+
+
 def exact_quantiles(df: DataFrame, value: Column, probabilities: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
     """Linear quantiles of the non-null values per group (few groups with many rows): ``by`` and the array ``q``.
 

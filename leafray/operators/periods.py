@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from leafray.operators.ordered import last_said
+
 # Fixed values of the format: per block, the typed columns behind the satellite and its period (or, without a period, behind the satellite).
 CATALOG = {
     "PRN": [("prn", "string")],
@@ -54,27 +56,28 @@ def timeline(tables: dict[str, DataFrame], key: str, start: str = "start", end:
 
 def sinex_time(text: Column) -> Column:
     """``YYYY:DDD:SSSSS``; all zeros mean open, hence null."""
-    part = lambda i: F.split(text, ":")[i].try_cast("int")
+    part = lambda i: F.split_part(text, F.lit(":"), F.lit(i + 1)).try_cast("int")
     day = F.date_add(F.make_date(part(0), F.lit(1), F.lit(1)), part(1) - 1)
     return F.when(part(0) > 0, F.timestamp_seconds(F.unix_date(day).cast("long") * 86_400 + part(2)).cast("timestamp_ntz"))
 
 
 def catalog(lines: DataFrame) -> dict[str, DataFrame]:
-    """The satellite tables of SINEX ``lines`` (file, line, value): ``identifier`` and, with start and end, those of CATALOG.
+    """The satellite tables of SINEX ``lines`` (file, line, value, as ``text.numbered_lines`` gives them): ``identifier`` and, with start and end, those of CATALOG.
 
     All blocks come from one pass that marks each line with its block.
     """
-    place = Window.partitionBy("file").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
-    title = F.when(F.col("value").rlike(r"^[+-]SATELLITE/"), F.regexp_extract("value", r"^([+-])SATELLITE/(\S+)", 1)).alias("sign")
     block = F.regexp_extract("value", r"^[+-]SATELLITE/(\S+)", 1)
-    mark = F.when(title == "+", block).when(title == "-", F.lit(""))
-    inside = lines.withColumn("block", F.last(mark, ignorenulls=True).over(place)).where(~F.col("value").rlike(r"^[+\-*%#]"))
-    fields = inside.select("block", F.split(F.trim("value"), r"\s+").alias("f"))
+    edge = lambda sign: F.col("value").startswith(f"{sign}SATELLITE/") & (block != "")
+    mark = F.when(edge("+"), block).when(edge("-"), F.lit(""))
+    inside = last_said(lines, mark, "block").where(~F.col("value").rlike(r"^[+\-*%#]"))
+    # exploded, since Spark writes what is only selected anew into every filter that asks for it
+    fields = inside.select("block", F.explode(F.array(F.split(F.trim("value"), r"\s+"))).alias("f"))
     typed = lambda columns, at: [F.get("f", F.lit(at + i)).try_cast(t).alias(n) for i, (n, t) in enumerate(columns)]
     out = {"identifier": fields.where("block = 'IDENTIFIER'").select(F.col("f")[0].alias("svn"), *typed(IDENTIFIER, 1))}
     for name, columns in CATALOG.items():
         own = fields.where(F.col("block") == name)
-        out[name.lower()] = own.select(F.col("f")[0].alias("svn"), sinex_time(F.get("f", F.lit(1))).alias("start"), sinex_time(F.get("f", F.lit(2))).alias("end"), *typed(columns, 3))
+        row = F.struct(F.col("f")[0].alias("svn"), sinex_time(F.get("f", F.lit(1))).alias("start"), sinex_time(F.get("f", F.lit(2))).alias("end"), *typed(columns, 3))
+        out[name.lower()] = own.select(F.inline(F.array(row)))
     return out
 
 

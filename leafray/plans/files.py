@@ -201,15 +201,18 @@ def _(spark, sf):
     turns, stays, open_ = sky.order_periods(spark, sf)
     svn = F.concat(F.lit("S"), F.lpad(F.col("cust").cast("string"), 9, "0"))
     day = lambda c: F.coalesce(F.date_format(c, "yyyy:DDD:'00000'"), F.lit("0000:000:00000"))
-    file = (F.col("cust") % 16).cast("string").alias("file")
-
-    def block(rows: DataFrame, name: str, value: Column, place: int) -> DataFrame:
-        body = rows.select(file, (F.lit(place) + F.col("cust")).alias("place"), F.concat_ws(" ", F.lit(""), svn, day("start"), day("end"), value).alias("line"))
-        edge = lambda sign, at: rows.select(file).distinct().select("file", F.lit(at).alias("place"), F.lit(f"{sign}SATELLITE/{name}").alias("line"))
-        return edge("+", place - 1).unionByName(body).unionByName(edge("-", place + 10**12))
-
-    lines = block(turns, "PRN", F.substring("priority", 1, 1), 10**13)
-    lines = lines.unionByName(block(stays, "MASS", F.format_string("%.2f", F.col("price").cast("double")), 2 * 10**13))
-    lines = lines.unionByName(block(open_, "FREQUENCY_CHANNEL", F.col("orders").cast("string"), 3 * 10**13))
+    parts = sky.order_parts(spark, sf)
+    n_files = max(16, parts)
+
+    def block(rows: DataFrame, value: Column, place: int) -> DataFrame:
+        file = F.pmod("cust", F.lit(n_files)).cast("string").alias("file")
+        return rows.where("cust is not null").select(file, (F.lit(place) + F.col("cust")).alias("place"), F.concat_ws(" ", F.lit(""), svn, day("start"), day("end"), value).alias("line"))
+
+    places = {"PRN": 10**13, "MASS": 2 * 10**13, "FREQUENCY_CHANNEL": 3 * 10**13}
+    edges = [F.struct(F.lit(at).alias("place"), F.lit(f"{sign}SATELLITE/{b}").alias("line")) for b, p in places.items() for sign, at in (("+", p - 1), ("-", p + 10**12))]
+    lines = spark.range(n_files).select(F.col("id").cast("string").alias("file"), F.inline(F.array(*edges)))
+    lines = lines.unionByName(block(turns, F.substring("priority", 1, 1), places["PRN"]))
+    lines = lines.unionByName(block(stays, F.format_string("%.2f", F.col("price").cast("double")), places["MASS"]))
+    lines = lines.unionByName(block(open_, F.col("orders").cast("string"), places["FREQUENCY_CHANNEL"]))
     tables = periods.catalog(text.numbered_lines(spark, write_lines(lines, shared_folder(spark, "sinex"))))
-    return periods.timeline({n: tables[n] for n in ("prn", "mass", "frequency_channel")}, "svn")
+    return periods.timeline({n: tables[n].repartition(parts, "svn") for n in ("prn", "mass", "frequency_channel")}, "svn")

@@ -15,12 +15,20 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from leafray.functions.gnss import nmea_valid
+from leafray.operators.ordered import last_said
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """file, line (from 0), value."""
-    whole = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
-    return whole.select("file", F.posexplode(F.split("value", r"\r?\n")).alias("line", "value"))
+    """file, line, value; files are read by byte ranges.
+
+    ``line`` orders the lines of a file: ``start`` is where its byte range
+    begins, ``row`` counts on over the ranges of all files. Lines end with a line
+    feed, before which a carriage return doesn't count; the last one of a file begins no
+    further line.
+    """
+    value = F.when(F.col("value").endswith("\r"), F.expr("left(value, length(value) - 1)")).otherwise(F.col("value"))
+    line = F.struct(F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("row"))
+    return spark.read.text(path, lineSep="\n").select(F.input_file_name().alias("file"), line.alias("line"), value.alias("value"))
 
 
 def _epoch(*parts: Column) -> Column:
@@ -54,9 +62,8 @@ def read_clk(spark: SparkSession, path: str, scale: float = 1.0) -> DataFrame:
 def read_validity(spark: SparkSession, path: str, block: str) -> DataFrame:
     """Fields of one SINEX block's lines: file, line, fields (array); comments are left out."""
     lines = numbered_lines(spark, path)
-    w = Window.partitionBy("file").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
     mark = F.when(F.col("value").startswith("+"), F.substring("value", 2, 80)).when(F.col("value").startswith("-"), F.lit(""))
-    inside = lines.withColumn("block", F.trim(F.last(mark, ignorenulls=True).over(w)))
+    inside = last_said(lines, F.trim(mark), "block")
     inside = inside.where((F.col("block") == block) & ~F.col("value").rlike(r"^[+\-*%]"))
     return inside.select("file", "line", F.split(F.trim("value"), r"\s+").alias("fields"))
 
